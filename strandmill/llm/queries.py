@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import canonical_values, entity_splits, event_runs
+from strandmill.llm import canonical_values, entity_splits, event_runs, leak_search
 from strandmill.sources import load_table
 
 
@@ -36,7 +36,12 @@ def p6_splits(spark: SparkSession, folder: str) -> DataFrame:
     return entity_splits.assign_splits(load_table(spark, folder, "review_features"), load_table(spark, folder, "split_plan"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p4_found, p4_unmatched, p6_found, p6_splits)}
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = leak_search.leaked_items(load_table(spark, folder, "documents"), load_table(spark, folder, "eval_items"))
+    return found.select(F.col("doc_id").cast("bigint"), F.col("item_id").cast("bigint"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p4_found, p4_unmatched, p6_found, p6_splits, p7_found)}
 
 ORACLE = {
     "p6_found": """WITH named AS (SELECT feature_id,
