@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import canonical_values, entity_splits, event_runs, leak_search
+from strandmill.llm import canonical_values, entity_splits, event_runs, language_segments, leak_search
 from strandmill.sources import load_table
 
 
@@ -41,7 +41,20 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("doc_id").cast("bigint"), F.col("item_id").cast("bigint"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p4_found, p4_unmatched, p6_found, p6_splits, p7_found)}
+def _segments(spark: SparkSession, folder: str) -> DataFrame:
+    documents = load_table(spark, folder, "documents")
+    return language_segments.language_segments(documents, language_segments.fit_on_labels(documents))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return language_segments.mislabelled(_segments(spark, folder)).select(F.col("doc_id").cast("bigint"), F.col("seg_no").cast("int"), "lang")
+
+
+def p9_segments(spark: SparkSession, folder: str) -> DataFrame:
+    return _segments(spark, folder)
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p4_found, p4_unmatched, p6_found, p6_splits, p7_found, p9_found, p9_segments)}
 
 ORACLE = {
     "p6_found": """WITH named AS (SELECT feature_id,
