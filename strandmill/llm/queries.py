@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import canonical_values, entity_splits, event_runs, language_segments, leak_search
+from strandmill.llm import canonical_values, entity_splits, event_runs, language_segments, leak_search, source_mixing
 from strandmill.sources import load_table
 
 
@@ -41,6 +41,15 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("doc_id").cast("bigint"), F.col("item_id").cast("bigint"))
 
 
+def p8_drawing(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mixing.draw_mixture(load_table(spark, folder, "documents"), load_table(spark, folder, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    targets = load_table(spark, folder, "mix_targets")
+    return source_mixing.reached_shares(source_mixing.draw_mixture(load_table(spark, folder, "documents"), targets), targets)
+
+
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
     documents = load_table(spark, folder, "documents")
     return language_segments.language_segments(documents, language_segments.fit_on_labels(documents))
@@ -54,7 +63,7 @@ def p9_segments(spark: SparkSession, folder: str) -> DataFrame:
     return _segments(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p4_found, p4_unmatched, p6_found, p6_splits, p7_found, p9_found, p9_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p4_found, p4_unmatched, p6_found, p6_splits, p7_found, p8_drawing, p8_shares, p9_found, p9_segments)}
 
 ORACLE = {
     "p6_found": """WITH named AS (SELECT feature_id,
