@@ -57,7 +57,9 @@ def repaired(text: str) -> str:
         text = _TAG.sub(" ", text)
     if _BROKEN.search(text):
         text = _BROKEN.sub(_decode_again, text)
-    return _HYPHEN.sub("", _NO_WIDTH.sub("", text))
+    if not text.isascii():
+        text = _NO_WIDTH.sub("", text)
+    return _HYPHEN.sub("", text) if "\n" in text else text
 
 
 def words_of(text: str | None) -> list[str]:
@@ -75,6 +77,8 @@ def close_words(a: str, b: str) -> bool:
     x, y = len(a), len(b)
     if min(x, y) < 4 or abs(x - y) > 2 or a.isdigit() or b.isdigit():
         return False
+    if a[0] != b[0] and a[-1] != b[-1] and a[0] != b[1:2]:
+        return False
     most = 2 if max(x, y) >= 8 else 1
     before, last = None, list(range(y + 1))
     for i in range(1, x + 1):
@@ -154,6 +158,8 @@ class ItemBlock:
         self.places = list(places.values())
         self.search = PatternSearch(list(places))
 
+        self.memo: dict[tuple[str, str], bool] = {}
+
     def leaks(self, docs: list[list[str]]) -> list[tuple[int, int]]:
         """(place in ``docs``, item) of every document that holds a passage of an item."""
         texts = [f" {' '.join(words)} ".encode() for words in docs]
@@ -165,7 +171,9 @@ class ItemBlock:
         by_doc: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for at, pattern in hits:
             by_doc[bisect_right(starts, at) - 1].append((at, pattern))
-        found, memo = [], {}
+        found, memo = [], self.memo
+        if len(memo) > 2_000_000:
+            memo.clear()
         for d, own in sorted(by_doc.items()):
             words, spots, at = docs[d], [], starts[d]
             for w in words:
@@ -195,9 +203,9 @@ class ItemBlock:
 
 
 def folded_words(text: Column) -> Column:
-    """The distinct words of a text, roughly as in ``words_of``; for document counts."""
+    """The words of a text, roughly as in ``words_of``; for document counts."""
     accents = ("áàâäãåéèêëíìîïóòôöõúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn")
-    return F.array_distinct(F.split(F.replace(F.translate(F.lower(text), *accents), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{N}]+"))
+    return F.split(F.replace(F.translate(F.lower(text), *accents), F.lit("ß"), F.lit("ss")), "[^a-z0-9]+")
 
 
 def document_counts(documents: DataFrame, words: list[str], text: str) -> dict[str, int]:
