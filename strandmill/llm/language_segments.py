@@ -196,13 +196,18 @@ def segments_of(texts: Sequence[str | None], profiles: Profiles) -> list[list[tu
 
 def fit_on_labels(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
     """Profiles fitted on at most ``per_language`` labelled documents of each language; nothing else is drawn from the table."""
-    labelled = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), canonical_label(F.col(lang)).alias("lang")).filter("text is not null")
-    samples: dict[str, list[str]] = {}
+    labelled = documents.select(F.col(doc_id).alias("id"), canonical_label(F.col(lang)).alias("lang"))
+    drawn: dict = {}
     for language in NAMES:
         if language != "und":
-            ids = labelled.filter(F.col("lang") == language).orderBy(F.xxhash64("id"), "id").limit(per_language)
-            if found := [r[0] for r in ids.select("text").collect()]:
-                samples[language] = found
+            # ids only: each task sends its smallest hashes to the driver
+            ids = labelled.filter((F.col("lang") == language) & F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(per_language)
+            drawn |= {r[0]: language for r in ids.select("id").collect()}
+    samples: dict[str, list[str]] = {}
+    if drawn:
+        found = documents.filter(F.col(doc_id).isin(list(drawn)) & F.col(text).isNotNull()).groupBy(doc_id).agg(F.min(text)).collect()
+        for key, body in sorted(found, key=lambda r: r[0]):
+            samples.setdefault(drawn[key], []).append(body)
     return fit(samples or {"en": [""]})
 
 
