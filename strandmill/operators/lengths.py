@@ -68,7 +68,7 @@ def pick_two(hist: DataFrame, *, min_reads: int = 5, share: float = 0.4, min_con
     contrast = F.col("n") / (F.col("around") / 6.0 + 1.0)
     weight = F.when(F.col("copies").isin(*BY_PRODUCTS), BY_PRODUCT_WEIGHT).otherwise(1.0)
     scored = peaks.withColumn("main", main).withColumn("contrast", contrast)
-    scored = scored.withColumn("score", F.round(F.col("contrast") * F.col("n") * F.pow(F.lit(10.0), F.col("copies") / F.col("main") - 1.0) * weight, 1))
+    scored = scored.withColumn("score", F.floor(F.col("contrast") * F.col("n") * F.pow(F.lit(10.0), F.col("copies") / F.col("main") - 1.0) * weight * 10 + 0.5) / 10)
     order = Window.partitionBy("sample_id").orderBy(F.desc("score"), "copies")
     ranked = scored.withColumn("place", F.row_number().over(order)).withColumn("n_peaks", F.count("*").over(Window.partitionBy("sample_id"))).filter("place <= 2")
     best = ranked.groupBy("sample_id").agg(

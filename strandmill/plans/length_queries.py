@@ -103,7 +103,7 @@ near AS (SELECT h.sample_id, h.copies, h.n, coalesce(max(CASE WHEN o.copies = h.
 peaks AS (SELECT *, n / (around / 6.0 + 1.0) AS contrast FROM near
   WHERE n >= 5 AND (n >= greatest(l, r) OR (l > n AND n >= 0.4 * l) OR (r > n AND n >= 0.4 * r))),
 mains AS (SELECT *, first_value(copies) OVER (PARTITION BY sample_id ORDER BY n DESC, copies) AS main FROM peaks),
-scored AS (SELECT *, round(contrast * n * pow(10.0, copies / main::DOUBLE - 1.0) * CASE WHEN copies IN (44, 70) THEN 0.9 ELSE 1.0 END, 1) AS score FROM mains),
+scored AS (SELECT *, floor(contrast * n * pow(10.0, copies / main::DOUBLE - 1.0) * CASE WHEN copies IN (44, 70) THEN 0.9 ELSE 1.0 END * 10 + 0.5) / 10 AS score FROM mains),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, copies) AS place, count(*) OVER (PARTITION BY sample_id) AS n_peaks FROM scored),
 best AS (SELECT sample_id, max(n_peaks) AS n_peaks, min(round(contrast, 2)) AS least, max(copies) FILTER (place = 1) AS a1, max(n) FILTER (place = 1) AS c1,
   max(score) FILTER (place = 1) AS s1, max(copies) FILTER (place = 2) AS a2, max(n) FILTER (place = 2) AS c2, max(score) FILTER (place = 2) AS s2
