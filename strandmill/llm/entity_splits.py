@@ -25,6 +25,8 @@ LARGE_PARTS = 2_000
 BLOCK_COMPONENTS = 4_000
 #: Independent searches per block.
 RESTARTS = 3
+#: How much more a deviation in records counts than one in a label's records.
+SIZE_WEIGHT = 5.0
 #: Tries of a move or an exchange per search.
 STEPS = 12_000
 
@@ -64,6 +66,7 @@ def anneal(sizes: np.ndarray, labels: np.ndarray, want: np.ndarray, want_labels:
     at, vec = start.copy(), np.column_stack([sizes, labels]).astype(float)
     goal = np.column_stack([want, want_labels]).astype(float)
     weight = 1.0 / np.maximum(goal.sum(axis=0), 1.0)
+    weight[0] *= SIZE_WEIGHT
     have = np.zeros_like(goal)
     np.add.at(have, at, vec)
     part = (((have - goal) * weight) ** 2).sum(axis=1)

@@ -235,8 +235,8 @@ def leaked_items(
     out = None
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64(item_id), F.lit(blocks)) == b).select(item_id, item_text).filter(F.col(item_text).isNotNull())
-        # hashed blocks are about equal; twice the size is far outside of chance
-        listed = [(r[0], words_of(r[1])) for r in collect_bounded(part, 2 * ITEM_BLOCK) if r[0] is not None]
+        # hashed blocks are about equal; this bound is far outside of chance
+        listed = [(r[0], words_of(r[1])) for r in collect_bounded(part, 2 * ITEM_BLOCK + 1_000) if r[0] is not None]
         vocabulary = Counter(w for _, words in listed for w in set(words) if len(w) >= 5 and not w.isdigit())
         counts = document_counts(documents, sorted(vocabulary), text)
         most = max(RARE_DOCS, RARE_SHARE * n_docs)
