@@ -23,8 +23,9 @@ from strandmill.llm.multi_pattern import PatternSearch
 
 #: Items per pass over the documents; the test strings of one pass go to every executor.
 ITEM_BLOCK = 2_000
-#: A word of an item is distinctive if at most this part of the documents, or so few documents, hold it.
-RARE_SHARE, RARE_DOCS = 0.01, 50
+#: A word of an item is distinctive if at most this part of the documents, or so few documents, hold it, and likewise of the items.
+RARE_SHARE, RARE_DOCS = 0.01, 20
+RARE_ITEM_SHARE, RARE_ITEMS = 0.02, 2
 #: Items without distinctive words are searched by windows of so many words.
 WINDOW = 5
 #: A passage has at least so many equal words and this score.
@@ -238,9 +239,11 @@ def leaked_items(
         # hashed blocks are about equal; this bound is far outside of chance
         listed = [(r[0], words_of(r[1])) for r in collect_bounded(part, 2 * ITEM_BLOCK + 1_000) if r[0] is not None]
         vocabulary = Counter(w for _, words in listed for w in set(words) if len(w) >= 5 and not w.isdigit())
-        counts = document_counts(documents, sorted(vocabulary), text)
+        few = max(RARE_ITEMS, RARE_ITEM_SHARE * len(listed)) if len(listed) > RARE_ITEMS else 1
+        candidates = sorted(w for w, n in vocabulary.items() if n <= few)
+        counts = document_counts(documents, candidates, text)
         most = max(RARE_DOCS, RARE_SHARE * n_docs)
-        rare = frozenset(w for w in vocabulary if counts.get(w, 0) <= most)
+        rare = frozenset(w for w in candidates if counts.get(w, 0) <= most)
         found = held.mapInArrow(_searcher(listed, rare), "doc_id bigint, item_id bigint")
         out = found if out is None else out.unionAll(found)
     return out.select(F.col("doc_id").alias(doc_id), F.col("item_id").alias(item_id))

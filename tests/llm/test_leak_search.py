@@ -59,4 +59,7 @@ def test_long_text_and_blocks(spark, monkeypatch):
         for j, old in enumerate(("griulmistax", "lortavporel", "yantoron", "emfraite")):
             t = t.replace(old, n + names[(k + j + 1) % 5])
         items.append((k, t))
+    # sentences of one pattern are told apart in one block; small blocks find at least what is there
+    assert {(1, 3), (1, 9)} <= set(leaks(spark, [(1, text + " " + items[3][1])], [(9, ITEM), *items]))
+    monkeypatch.setattr(m, "ITEM_BLOCK", 100)
     assert leaks(spark, [(1, text + " " + items[3][1])], [(9, ITEM), *items]) == [(1, 3), (1, 9)]
