@@ -121,10 +121,10 @@ def schema_changes(
     for k in reversed(kinds):
         kind = F.when((top > 0) & (F.col(f"_{k}") == top), k).otherwise(kind)
     profile = profile.select("s", "f", "w", "field", kind.alias("kind"))
-    # Read by four joins below; written once, so that a lost executor costs no second parse of the rows.
-    profile = checkpointed(profile)
     files = number_files(profile.groupBy("s", "f").agg(F.min("w").alias("w")), "s", "f", "w").select("s", "f", "seq", "last_seq")
-    held = profile.drop("w").join(files, ["s", "f"])
+    # Read by all that follows; written once, so that a lost executor costs no second parse of the rows and plans stay small.
+    held = checkpointed(profile.drop("w").join(files, ["s", "f"]))
+    files = held.select("s", "seq", "f").distinct()
 
     earlier = held.select("s", "field", (F.col("seq") + 1).alias("seq"))
     added = held.filter("seq > 1").join(earlier, ["s", "field", "seq"], "left_anti").select("s", "seq", "f", "field")
@@ -135,14 +135,17 @@ def schema_changes(
 
     # what a field's values look like in the stream, for pairs that may be one quantity
     domain = cells.filter("kind is not null").groupBy("s", "field").agg(
-        F.percentile_approx("number", F.array(F.lit(0.05), F.lit(0.95)), 200).alias("q"),
+        F.min("number").alias("least"), F.max("number").alias("most"), F.avg("number").alias("mean"), F.stddev_pop("number").alias("sd"),
         F.avg(F.when(F.col("number").isNotNull(), (F.col("number") == F.floor("number")).cast("int"))).alias("wholes"),
         (F.count("number") / F.count("*")).alias("numbers"),
         F.avg((F.col("kind") == "boolean").cast("int")).alias("flags"),
-        F.hll_sketch_agg(F.coalesce("text", F.lit("")), 10).alias("hll"),
+        # which of 60 hash classes the texts fall into
+        F.bit_or(F.expr("shiftleft(1L, CAST(pmod(xxhash64(coalesce(text, '')), 60) AS INT))")).alias("texts"),
     )
+    # the central part of the values, by mean and deviation
+    domain = domain.withColumn("low", F.greatest("least", F.col("mean") - 1.65 * F.col("sd"))).withColumn("high", F.least("most", F.col("mean") + 1.65 * F.col("sd")))
     pairs = removed.withColumnRenamed("field", "old").join(added.select("s", "seq", F.col("field").alias("new")), ["s", "seq"])
-    side = lambda n: domain.select("s", F.col("field").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in ("q", "wholes", "numbers", "flags", "hll")))
+    side = lambda n: domain.select("s", F.col("field").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in ("low", "high", "wholes", "numbers", "flags", "texts")))
     pairs = pairs.join(side("old"), ["s", "old"]).join(side("new"), ["s", "new"])
     wanted_old = pairs.select("s", F.col("f_before").alias("f"), F.col("old").alias("field")).distinct()
     wanted_new = pairs.select("s", "f", F.col("new").alias("field")).distinct()
@@ -154,12 +157,10 @@ def schema_changes(
         .groupBy("s", "f", "old", "new").agg(F.count("*").alias("shared"), F.avg((F.col("x") == F.col("y")).cast("int")).alias("agreed"))
     )
     pairs = pairs.join(agree, ["s", "f", "old", "new"], "left")
-    low, high = F.greatest(F.col("old_q")[0], F.col("new_q")[0]), F.least(F.col("old_q")[1], F.col("new_q")[1])
-    span = F.greatest(F.col("old_q")[1], F.col("new_q")[1]) - F.least(F.col("old_q")[0], F.col("new_q")[0])
+    low, high = F.greatest("old_low", "new_low"), F.least("old_high", "new_high")
+    span = F.greatest("old_high", "new_high") - F.least("old_low", "new_low")
     overlap = F.when(span > 0, F.greatest(high - low, F.lit(0)) / span).otherwise(F.lit(1.0))
-    union = F.hll_sketch_estimate(F.hll_union("old_hll", "new_hll"))
-    both = F.hll_sketch_estimate("old_hll") + F.hll_sketch_estimate("new_hll") - union
-    shared_values = F.greatest(both, F.lit(0)) / F.greatest(union, F.lit(1))
+    shared_values = F.bit_count(F.col("old_texts").bitwiseAND(F.col("new_texts"))) / F.bit_count(F.col("old_texts").bitwiseOR(F.col("new_texts")))
     numeric = (F.col("old_numbers") > 0.5) & (F.col("new_numbers") > 0.5)
     mixed = (F.col("old_numbers") > 0.5) != (F.col("new_numbers") > 0.5)
     flags = (F.col("old_flags") > 0.5) | (F.col("new_flags") > 0.5)
@@ -167,7 +168,7 @@ def schema_changes(
     like = F.when(mixed, 0.0).when(flags & (F.col("old_flags") != F.col("new_flags")), 0.0).when(flags, 0.2).otherwise(F.coalesce(like, shared_values * 0.8))
     # two flags agree by chance; they need several equal values
     witnesses = F.when(flags, 5).otherwise(1)
-    agreed = F.coalesce(F.when(F.col("shared") >= witnesses, F.col("agreed")), F.lit(0.0))
+    agreed = F.coalesce(F.when((F.col("shared") >= witnesses) & (~flags | (F.col("agreed") >= 0.95)), F.col("agreed")), F.lit(0.0))
     names = _name_likeness(F.col("old"), F.col("new"))
     # a short stream may show too few values for its ranges to meet
     like = F.when(numeric & ((names >= 0.8) | ((F.col("shared") >= 2) & (agreed >= 0.8))), F.greatest(like, F.lit(0.3))).otherwise(like)
@@ -175,6 +176,7 @@ def schema_changes(
     scored = pairs.withColumn("score", F.when(like > 0, like + support).otherwise(0.0)).filter(F.col("score") >= least_score)
     best = lambda side: F.row_number().over(Window.partitionBy("s", "seq", side).orderBy(F.desc("score"), "old", "new"))
     renamed = scored.withColumn("_o", best("old")).withColumn("_n", best("new")).filter("_o = 1 and _n = 1").select("s", "seq", "f", "old", "new")
+    renamed = checkpointed(renamed)
 
     typed = last_before(held, ("s", "field"), "seq", "kind", "kind_before")
     # a renamed field goes on from what its old name carried
