@@ -132,6 +132,9 @@ def schema_changes(
     gone = held.filter("seq < last_seq").join(later, ["s", "field", "seq"], "left_anti")
     gone = gone.select("s", (F.col("seq") + 1).alias("seq"), "field", F.col("f").alias("f_before"))
     removed = gone.join(files.select("s", "seq", "f"), ["s", "seq"])
+    moved = added.withColumn("f_before", F.lit(None).cast(added.schema["f"].dataType)).withColumn("change_kind", F.lit("added"))
+    moved = checkpointed(moved.unionByName(removed.withColumn("change_kind", F.lit("removed"))))
+    added, removed = (moved.filter(F.col("change_kind") == k).drop("change_kind") for k in ("added", "removed"))
 
     # what a field's values look like in the stream, for pairs that may be one quantity
     domain = cells.filter("kind is not null").groupBy("s", "field").agg(
@@ -146,12 +149,15 @@ def schema_changes(
     domain = domain.withColumn("low", F.greatest("least", F.col("mean") - 1.65 * F.col("sd"))).withColumn("high", F.least("most", F.col("mean") + 1.65 * F.col("sd")))
     pairs = removed.withColumnRenamed("field", "old").join(added.select("s", "seq", F.col("field").alias("new")), ["s", "seq"])
     side = lambda n: domain.select("s", F.col("field").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in ("low", "high", "wholes", "numbers", "flags", "texts")))
-    pairs = pairs.join(side("old"), ["s", "old"]).join(side("new"), ["s", "new"])
-    wanted_old = pairs.select("s", F.col("f_before").alias("f"), F.col("old").alias("field")).distinct()
-    wanted_new = pairs.select("s", "f", F.col("new").alias("field")).distinct()
-    values = cells.filter("entity is not null and text is not null").select("s", "f", "field", "entity", F.coalesce(F.col("number").cast("string"), "text").alias("value")).distinct()
-    olds = values.join(wanted_old, ["s", "f", "field"], "left_semi").select("s", F.col("f").alias("f_before"), F.col("field").alias("old"), "entity", F.col("value").alias("x"))
-    news = values.join(wanted_new, ["s", "f", "field"], "left_semi").select("s", "f", F.col("field").alias("new"), "entity", F.col("value").alias("y"))
+    pairs = checkpointed(pairs.join(side("old"), ["s", "old"]).join(side("new"), ["s", "new"]))
+    # only rows of files with such a pair are read again, only the paired fields are taken apart
+    sides = pairs.select("s", F.col("f_before").alias("f"), F.col("old").alias("field")).unionByName(pairs.select("s", "f", F.col("new").alias("field")))
+    wanted = sides.groupBy("s", "f").agg(F.collect_set("field").alias("fields"))
+    again = exploded_fields(keep.filter("entity is not null").join(wanted, ["s", "f"]), ("s", "f", "entity", "fields"))
+    again = again.filter(F.array_contains("fields", F.col("field")) & F.col("text").isNotNull())
+    values = again.select("s", "f", "field", "entity", F.coalesce(F.col("number").cast("string"), "text").alias("value")).distinct()
+    olds = values.select("s", F.col("f").alias("f_before"), F.col("field").alias("old"), "entity", F.col("value").alias("x"))
+    news = values.select("s", "f", F.col("field").alias("new"), "entity", F.col("value").alias("y"))
     agree = (
         pairs.select("s", "f", "f_before", "old", "new").join(olds, ["s", "f_before", "old"]).join(news, ["s", "f", "new", "entity"])
         .groupBy("s", "f", "old", "new").agg(F.count("*").alias("shared"), F.avg((F.col("x") == F.col("y")).cast("int")).alias("agreed"))
@@ -187,11 +193,10 @@ def schema_changes(
 
     change = lambda df, name, what, new: df.select(F.col("f").alias(file), F.col(name).alias("field_name"), F.lit(what).alias("change_kind"), new.alias("new_name"))
     none = F.lit("")
-    plain_added = added.join(renamed.select("s", "seq", F.col("new").alias("field")), ["s", "seq", "field"], "left_anti")
-    plain_removed = removed.join(renamed.select("s", "seq", F.col("old").alias("field")), ["s", "seq", "field"], "left_anti")
+    taken = renamed.select("s", "seq", F.inline(F.array(F.struct(F.col("old").alias("field"), F.lit("removed").alias("change_kind")), F.struct(F.col("new").alias("field"), F.lit("added").alias("change_kind")))))
+    plain = moved.join(taken, ["s", "seq", "field", "change_kind"], "left_anti")
     return (
-        change(plain_added, "field", "added", none)
-        .unionByName(change(plain_removed, "field", "removed", none))
+        plain.select(F.col("f").alias(file), F.col("field").alias("field_name"), "change_kind", none.alias("new_name"))
         .unionByName(change(renamed, "old", "renamed", F.col("new")))
         .unionByName(change(retyped, "field", "retyped", none))
     )
