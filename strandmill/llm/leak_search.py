@@ -28,8 +28,9 @@ RARE_SHARE, RARE_DOCS = 0.01, 20
 RARE_ITEM_SHARE, RARE_ITEMS = 0.02, 2
 #: Items without distinctive words are searched by windows of so many words.
 WINDOW = 5
-#: A passage has at least so many equal words and this score.
-LEAST_WORDS, LEAST_SCORE = 15, 15.5
+#: A passage has at least so many equal words and this score, and the score is at least this part of its words.
+LEAST_DENSITY = 0.55
+LEAST_WORDS, LEAST_SCORE = 15, 20.5
 #: Equal words on the diagonal of a test string's occurrence before an alignment is tried; a passage has a stretch without gaps around it.
 LEAST_ON_DIAGONAL = 5
 
@@ -135,7 +136,7 @@ def align(item: list[str], part: list[str], offset: int, rare: frozenset, memo:
 def is_passage(found: tuple[float, int, int, int], has_rare: bool) -> bool:
     """Enough equal words in order; with one distinctive word among them nothing else may differ, as in a sentence of the same pattern."""
     score, words, kept, replaced = found
-    if score < LEAST_SCORE or words < LEAST_WORDS:
+    if score < LEAST_SCORE or words < LEAST_WORDS or score < LEAST_DENSITY * words:
         return False
     if not has_rare or kept >= 2:
         return replaced * 3 <= kept
