@@ -138,7 +138,7 @@ def schema_changes(
 
     # what a field's values look like in the stream, for pairs that may be one quantity
     domain = cells.filter("kind is not null").groupBy("s", "field").agg(
-        F.min("number").alias("least"), F.max("number").alias("most"), F.avg("number").alias("mean"), F.stddev_pop("number").alias("sd"),
+        F.min("number").alias("least"), F.max("number").alias("most"), F.avg("number").alias("mean"), F.stddev_pop("number").alias("sd"), F.count("number").alias("known"),
         F.avg(F.when(F.col("number").isNotNull(), (F.col("number") == F.floor("number")).cast("int"))).alias("wholes"),
         (F.count("number") / F.count("*")).alias("numbers"),
         F.avg((F.col("kind") == "boolean").cast("int")).alias("flags"),
@@ -148,7 +148,7 @@ def schema_changes(
     # the central part of the values, by mean and deviation
     domain = domain.withColumn("low", F.greatest("least", F.col("mean") - 1.65 * F.col("sd"))).withColumn("high", F.least("most", F.col("mean") + 1.65 * F.col("sd")))
     pairs = removed.withColumnRenamed("field", "old").join(added.select("s", "seq", F.col("field").alias("new")), ["s", "seq"])
-    side = lambda n: domain.select("s", F.col("field").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in ("low", "high", "wholes", "numbers", "flags", "texts")))
+    side = lambda n: domain.select("s", F.col("field").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in ("low", "high", "known", "wholes", "numbers", "flags", "texts")))
     pairs = checkpointed(pairs.join(side("old"), ["s", "old"]).join(side("new"), ["s", "new"]))
     # only rows of files with such a pair are read again, only the paired fields are taken apart
     sides = pairs.select("s", F.col("f_before").alias("f"), F.col("old").alias("field")).unionByName(pairs.select("s", "f", F.col("new").alias("field")))
@@ -165,12 +165,18 @@ def schema_changes(
     pairs = pairs.join(agree, ["s", "f", "old", "new"], "left")
     low, high = F.greatest("old_low", "new_low"), F.least("old_high", "new_high")
     span = F.greatest("old_high", "new_high") - F.least("old_low", "new_low")
-    overlap = F.when(span > 0, F.greatest(high - low, F.lit(0)) / span).otherwise(F.lit(1.0))
+    narrow = F.least(F.col("old_high") - F.col("old_low"), F.col("new_high") - F.col("new_low"))
+    common = F.greatest(high - low, F.lit(0))
+    # few values fill only a part of their range: lying inside the other's counts as well
+    inside = F.when(narrow > 0, common / narrow).otherwise((high >= low).cast("double"))
+    overlap = 0.6 * inside + 0.4 * F.when(span > 0, common / span).otherwise(F.lit(1.0))
+    fewest = F.least("old_known", "new_known")
+    unlike = F.abs(F.col("old_wholes") - F.col("new_wholes")) * fewest / (fewest + 5)
     shared_values = F.bit_count(F.col("old_texts").bitwiseAND(F.col("new_texts"))) / F.bit_count(F.col("old_texts").bitwiseOR(F.col("new_texts")))
     numeric = (F.col("old_numbers") > 0.5) & (F.col("new_numbers") > 0.5)
     mixed = (F.col("old_numbers") > 0.5) != (F.col("new_numbers") > 0.5)
     flags = (F.col("old_flags") > 0.5) | (F.col("new_flags") > 0.5)
-    like = F.when(numeric, overlap * (1 - F.abs(F.col("old_wholes") - F.col("new_wholes"))))
+    like = F.when(numeric, overlap * (1 - unlike))
     like = F.when(mixed, 0.0).when(flags & (F.col("old_flags") != F.col("new_flags")), 0.0).when(flags, 0.2).otherwise(F.coalesce(like, shared_values * 0.8))
     # two flags agree by chance; they need several equal values
     witnesses = F.when(flags, 5).otherwise(1)
