@@ -38,23 +38,30 @@ def in_order(events: Column) -> Column:
         F.filter(events, lambda m: m["pos"].isNotNull()),
         lambda m, i: F.struct(m["pos"].alias("pos"), i.alias("i"), m["length"].alias("length"), m["name"].alias("name"), m["sequence"].alias("sequence")),
     )
-    ordered = F.array_sort(keyed)
-    return F.filter(ordered, lambda m, i: (i == 0) | (F.get(ordered, i - 1)["pos"] != m["pos"]))
+    # pairs with the event before: inside a lambda the whole array would be sorted again for each event
+    pairs = with_previous(F.array_sort(keyed))
+    return F.transform(F.filter(pairs, lambda x: x["p"].isNull() | (x["p"]["pos"] != x["m"]["pos"])), lambda x: x["m"])
+
+
+def with_previous(events: Column) -> Column:
+    """Array of ``m`` and the element before it, ``p`` (null for the first)."""
+    before = F.concat(F.array(F.lit(None)), F.slice(events, F.lit(1), F.greatest(F.size(events) - 1, F.lit(0))))
+    return F.filter(F.zip_with(events, before, lambda m, p: F.struct(m.alias("m"), p.alias("p"))), lambda x: x["m"].isNotNull())
 
 
 def symbol_string(events: Column, most: int) -> Column:
     """One code point per event; an event has its predecessor's if it continues it without a gap."""
     new = F.transform(
-        events,
-        lambda m, i: F.when((i > 0) & (F.get(events, i - 1)["pos"] + F.get(events, i - 1)["length"] == m["pos"]) & same_unit(F.get(events, i - 1), m, most), 0).otherwise(1),
+        with_previous(events),
+        lambda x: F.when(x["p"].isNotNull() & (x["p"]["pos"] + x["p"]["length"] == x["m"]["pos"]) & same_unit(x["p"], x["m"], most), 0).otherwise(1),
     )
     # running count of changes, as code points
     state = F.aggregate(
         new,
-        F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("s")),
-        lambda a, x: F.struct((a["n"] + x).alias("n"), F.concat(a["s"], F.array(_symbol(a["n"] + x))).alias("s")),
+        F.struct(F.lit(0).alias("n"), F.lit("").alias("s")),
+        lambda a, x: F.struct((a["n"] + x).alias("n"), F.concat(a["s"], _symbol(a["n"] + x)).alias("s")),
     )
-    return F.array_join(state["s"], "")
+    return state["s"]
 
 
 def _symbol(n: Column) -> Column:
