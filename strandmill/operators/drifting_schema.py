@@ -123,7 +123,7 @@ def schema_changes(
     profile = profile.select("s", "f", "w", "field", kind.alias("kind"))
     files = number_files(profile.groupBy("s", "f").agg(F.min("w").alias("w")), "s", "f", "w").select("s", "f", "seq", "last_seq")
     # Read by all that follows; written once, so that a lost executor costs no second parse of the rows and plans stay small.
-    held = checkpointed(profile.drop("w").join(files, ["s", "f"]))
+    held = checkpointed(last_before(profile.drop("w").join(files, ["s", "f"]), ("s", "field"), "seq", "kind", "kind_before"))
     files = held.select("s", "seq", "f").distinct()
 
     earlier = held.select("s", "field", (F.col("seq") + 1).alias("seq"))
@@ -190,12 +190,11 @@ def schema_changes(
     renamed = scored.withColumn("_o", best("old")).withColumn("_n", best("new")).filter("_o = 1 and _n = 1").select("s", "seq", "f", "old", "new")
     renamed = checkpointed(renamed)
 
-    typed = last_before(held, ("s", "field"), "seq", "kind", "kind_before")
     # a renamed field goes on from what its old name carried
-    tail = typed.select("s", F.col("field").alias("old"), (F.col("seq") + 1).alias("seq"), F.coalesce("kind", "kind_before").alias("old_kind"))
+    tail = held.select("s", F.col("field").alias("old"), (F.col("seq") + 1).alias("seq"), F.coalesce("kind", "kind_before").alias("old_kind"))
     heirs = renamed.join(tail, ["s", "old", "seq"]).select("s", F.col("new").alias("field"), F.col("seq").alias("from_seq"), "old_kind")
-    first = typed.filter("kind is not null and kind_before is null").join(heirs, ["s", "field"]).filter("seq >= from_seq and kind != old_kind")
-    retyped = typed.filter("kind is not null and kind_before is not null and kind != kind_before").select("f", "field").unionByName(first.select("f", "field")).distinct()
+    first = held.filter("kind is not null and kind_before is null").join(heirs, ["s", "field"]).filter("seq >= from_seq and kind != old_kind")
+    retyped = held.filter("kind is not null and kind_before is not null and kind != kind_before").select("f", "field").unionByName(first.select("f", "field")).distinct()
 
     change = lambda df, name, what, new: df.select(F.col("f").alias(file), F.col(name).alias("field_name"), F.lit(what).alias("change_kind"), new.alias("new_name"))
     none = F.lit("")
