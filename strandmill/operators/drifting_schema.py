@@ -121,6 +121,8 @@ def schema_changes(
     for k in reversed(kinds):
         kind = F.when((top > 0) & (F.col(f"_{k}") == top), k).otherwise(kind)
     profile = profile.select("s", "f", "w", "field", kind.alias("kind"))
+    # Read twice below, and every branch of a plan would parse the rows anew.
+    profile = checkpointed(profile)
     files = number_files(profile.groupBy("s", "f").agg(F.min("w").alias("w")), "s", "f", "w").select("s", "f", "seq", "last_seq")
     # Read by all that follows; written once, so that a lost executor costs no second parse of the rows and plans stay small.
     held = checkpointed(last_before(profile.drop("w").join(files, ["s", "f"]), ("s", "field"), "seq", "kind", "kind_before"))
