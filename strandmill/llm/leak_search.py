@@ -28,9 +28,10 @@ RARE_SHARE, RARE_DOCS = 0.01, 20
 RARE_ITEM_SHARE, RARE_ITEMS = 0.02, 2
 #: Items without distinctive words are searched by windows of so many words.
 WINDOW = 5
-#: A passage has at least so many equal words and this score, and the score is at least this part of its words.
-LEAST_DENSITY = 0.55
-LEAST_WORDS, LEAST_SCORE = 15, 20.5
+#: A passage spans at least so many words of the item, so many of them equal.
+LEAST_SPAN, LEAST_WORDS = 18, 15
+#: The score is at least this part of the equal words; a passage of a lower score than ``LONG_SCORE`` bears fewer changes.
+LEAST_DENSITY, SHORT_DENSITY, LONG_SCORE = 0.55, 0.75, 20.5
 #: Equal words on the diagonal of a test string's occurrence before an alignment is tried; a passage has a stretch without gaps around it.
 LEAST_ON_DIAGONAL = 5
 
@@ -95,15 +96,16 @@ def close_words(a: str, b: str) -> bool:
     return last[y] <= most
 
 
-def align(item: list[str], part: list[str], offset: int, rare: frozenset, memo: dict, band: int = 9) -> tuple[float, int, int, int]:
-    """Best local alignment near the diagonal ``offset``: score, equal words, distinctive words kept, distinctive words replaced."""
-    best = (0.0, 0, 0, 0)
+def align(item: list[str], part: list[str], offset: int, rare: frozenset, memo: dict, band: int = 9) -> tuple[float, int, int, int, int]:
+    """Best local alignment near the diagonal ``offset``: score, equal words, distinctive words kept, distinctive words replaced, words of the item spanned."""
+    best, span = (0.0, 0, 0, 0, 0), 0
     width = 2 * band + 1
-    nothing = (0.0, 0, 0, 0)
-    last = [nothing] * (width + 2)
+    last = [best] * (width + 2)
     for i, a in enumerate(item):
+        # the last member of a cell is where its alignment starts
+        nothing = (0.0, 0, 0, 0, i + 1)
         row = [nothing] * (width + 2)
-        is_rare = a in rare
+        is_rare, is_figure = a in rare, a.isdigit()
         for k in range(width):
             j = i + offset + k - band
             if j < 0 or j >= len(part):
@@ -117,26 +119,28 @@ def align(item: list[str], part: list[str], offset: int, rare: frozenset, memo:
                     same = memo[a, b] = close_words(a, b)
             d = last[k + 1]
             if same:
-                cell = (d[0] + 1.0, d[1] + 1, d[2] + is_rare, d[3])
+                cell = (d[0] + 1.0, d[1] + 1, d[2] + is_rare, d[3], d[4])
             else:
-                cell = (d[0] - (3.0 if is_rare or b in rare else 1.5), d[1], d[2], d[3] + is_rare)
+                # another figure is like another name
+                other = is_rare or (is_figure and b.isdigit())
+                cell = (d[0] - (3.0 if other or b in rare else 1.5), d[1], d[2], d[3] + other, d[4])
             up, left = last[k + 2], row[k]
             if up[0] - 1.5 > cell[0]:
-                cell = (up[0] - 1.5, up[1], up[2], up[3])
+                cell = (up[0] - 1.5, up[1], up[2], up[3], up[4])
             if left[0] - 1.0 > cell[0]:
-                cell = (left[0] - 1.0, left[1], left[2], left[3])
+                cell = (left[0] - 1.0, left[1], left[2], left[3], left[4])
             if cell[0] > 0:
                 row[k + 1] = cell
                 if cell[0] > best[0]:
-                    best = cell
+                    best, span = cell, i + 1 - cell[4]
         last = row
-    return best
+    return *best[:4], span
 
 
-def is_passage(found: tuple[float, int, int, int], has_rare: bool) -> bool:
+def is_passage(found: tuple[float, int, int, int, int], has_rare: bool) -> bool:
     """Enough equal words in order; with one distinctive word among them nothing else may differ, as in a sentence of the same pattern."""
-    score, words, kept, replaced = found
-    if score < LEAST_SCORE or words < LEAST_WORDS or score < LEAST_DENSITY * words:
+    score, words, kept, replaced, span = found
+    if span < LEAST_SPAN or words < LEAST_WORDS or score < (LEAST_DENSITY if score >= LONG_SCORE else SHORT_DENSITY) * words:
         return False
     if not has_rare or kept >= 2:
         return replaced * 3 <= kept

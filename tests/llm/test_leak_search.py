@@ -63,3 +63,17 @@ def test_long_text_and_blocks(spark, monkeypatch):
     assert {(1, 3), (1, 9)} <= set(leaks(spark, [(1, text + " " + items[3][1])], [(9, ITEM), *items]))
     monkeypatch.setattr(m, "ITEM_BLOCK", 100)
     assert leaks(spark, [(1, text + " " + items[3][1])], [(9, ITEM), *items]) == [(1, 3), (1, 9)]
+
+
+def test_short_passages_with_changes(spark):
+    pad = " ".join(FILLER)
+    words = ITEM.split()
+    changed = lambda n, *pairs: " ".join(dict(pairs).get(w, w) for w in words[:n])
+    passages = [
+        changed(20), changed(20, ("in", "")), changed(20, ("in", "at")), changed(21, ("in", "near at")), changed(22, ("in", "at"), ("is", "was")),
+        changed(24, ("in", "at"), ("is", "")), " ".join(words[2:24]),
+    ]
+    short = " ".join(words[2:14])
+    parts = changed(20, ("35", "61"), ("nozzle", "spring"), ("layer", "plate"), ("cover", "sleeve"))
+    docs = [(k, f"{pad} {p} {pad}") for k, p in enumerate([*passages, short, parts])]
+    assert leaks(spark, docs) == [(k, 1) for k in range(len(passages))]
