@@ -9,10 +9,10 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from operator import eq
+from operator import eq, itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,7 @@ ITEM_BLOCK = 2_000
 #: A word of an item is distinctive if at most this part of the documents, or so few documents, hold it, and likewise of the items.
 RARE_SHARE, RARE_DOCS = 0.01, 20
 RARE_ITEM_SHARE, RARE_ITEMS = 0.02, 2
-#: Items without distinctive words are searched by windows of so many words.
+#: Stretches of items without distinctive words are searched by windows of so many words.
 WINDOW = 5
 #: A passage spans at least so many words of the item, so many of them equal.
 LEAST_SPAN, LEAST_WORDS = 18, 15
@@ -126,7 +126,7 @@ def align(item: list[str], part: list[str], offset: int, rare: frozenset, memo:
                 cell = (d[0] - (3.0 if other or b in rare else 1.5), d[1], d[2], d[3] + other, d[4])
             up, left = last[k + 2], row[k]
             if up[0] - 1.5 > cell[0]:
-                cell = (up[0] - 1.5, up[1], up[2], up[3], up[4])
+                cell = (up[0] - 1.5, up[1], up[2], up[3] + is_rare, up[4])
             if left[0] - 1.0 > cell[0]:
                 cell = (left[0] - 1.0, left[1], left[2], left[3], left[4])
             if cell[0] > 0:
@@ -147,24 +147,87 @@ def is_passage(found: tuple[float, int, int, int, int], has_rare: bool) -> bool:
     return kept == 1 and replaced == 0 and words >= LEAST_WORDS + 2 and score >= words - 1.0
 
 
+def may_hold(stretch: list[str], part: list[str], telling: frozenset) -> bool:
+    """False if the figures that ``part`` lacks leave no room for a passage of ``stretch``; saves most alignments with stock wording."""
+    held = set(part)
+    told = [k for k, w in enumerate(stretch) if w in telling]
+    lost = [k for k in told if stretch[k].isdigit() and stretch[k] not in held]
+    # as many may be missing as the others bear
+    ends = [-1, *lost, len(stretch)]
+    step = (len(told) - len(lost)) // 6 + 1
+    return any(ends[min(k + step, len(ends) - 1)] - ends[k] > LEAST_SPAN for k in range(len(ends) - 1))
+
+
+def shortened(word: str, most: int) -> set[str]:
+    """``word`` with up to ``most`` letters left out: words within so many edits or exchanges share one of these."""
+    found = last = {word}
+    for _ in range(most):
+        last = {w[:k] + w[k + 1 :] for w in last for k in range(len(w))}
+        found = found | last
+    return found
+
+
+def slips(word: str) -> int:
+    """Most edits ``close_words`` allows between ``word`` and any other."""
+    return 0 if len(word) < 4 or word.isdigit() else 2 if len(word) >= 6 else 1
+
+
 class ItemBlock:
-    """Test strings of a block of items."""
+    """Test strings of a block of items.
+
+    A passage that holds distinctive words keeps one of them at least, perhaps with slips; one that holds none lies in a
+    stretch of ``LEAST_SPAN`` words or more without any. So distinctive words, with their slips, and the windows of such stretches
+    are all test strings needed.
+    """
 
     def __init__(self, items: list[tuple[int, list[str]]], rare: frozenset):
         self.items, self.rare = dict(items), rare
-        places: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        # test string: (item, place of the string, start and end of what is aligned)
+        names: dict[bytes, list[tuple[int, int, int, int]]] = defaultdict(list)
+        windows: dict[bytes, list[tuple[int, int, int, int]]] = defaultdict(list)
+        self.telling: dict[tuple[int, int], frozenset] = {}
         for item, words in items:
             anchors = [k for k, w in enumerate(words) if w in rare]
             for k in anchors:
-                places[f" {words[k]} ".encode()].append((item, k))
-            # an item of common words only is searched by its windows
-            if not anchors:
-                for k in range(len(words) - WINDOW + 1):
-                    places[f" {' '.join(words[k : k + WINDOW])} ".encode()].append((item, k))
-        self.places = list(places.values())
-        self.search = PatternSearch(list(places))
-
+                names[f" {words[k]} ".encode()].append((item, k, 0, len(words)))
+            for before, after in zip([-1, *anchors], [*anchors, len(words)], strict=True):
+                low = before + 1
+                if after - low < LEAST_SPAN:
+                    continue
+                # what tells such a stretch from one of the same pattern: figures
+                self.telling[item, low] = frozenset(w for w in words[low:after] if w.isdigit())
+                for k in range(low, after - WINDOW + 1):
+                    windows[f" {' '.join(words[k : k + WINDOW])} ".encode()].append((item, k, low, after))
+        # apart, as the shortest test string bounds the shifts
+        self.searches = [(PatternSearch(list(p)), list(p.values())) for p in (names, windows)]
+        self.names = {p[1:-1].decode(): at for p, at in names.items()}
+        self.by_shortened: dict[str, list[str]] = defaultdict(list)
+        for name in self.names:
+            for w in shortened(name, slips(name)):
+                self.by_shortened[w].append(name)
         self.memo: dict[tuple[str, str], bool] = {}
+        self.longest = max(map(len, self.names), default=0)
+        # words seen so far that are like a distinctive word, and those that are not
+        self.near: dict[str, list[tuple[int, int, int, int]]] = {}
+        self.far: set[str] = set()
+
+    def slipped(self, words: list[str]) -> dict[str, list[tuple[int, int, int, int]]]:
+        """Places of the distinctive words that are like a word of ``words`` but for slips, by that word."""
+        near, far, found = self.near, self.far, {}
+        if len(near) + len(far) > 1_000_000:
+            near.clear()
+            far.clear()
+        for w in set(words) - far:
+            places = near.get(w)
+            if places is None:
+                like = {n for x in shortened(w, slips(w)) for n in self.by_shortened.get(x, ())} if len(w) <= self.longest + 2 else set()
+                places = [p for n in sorted(like) if n != w and close_words(n, w) for p in self.names[n]]
+                if not places:
+                    far.add(w)
+                    continue
+                near[w] = places
+            found[w] = places
+        return found
 
     def leaks(self, docs: list[list[str]]) -> list[tuple[int, int]]:
         """(place in ``docs``, item) of every document that holds a passage of an item."""
@@ -173,40 +236,65 @@ class ItemBlock:
         for t in texts:
             starts.append(total)
             total += len(t) + 1
-        hits = self.search.find(b"\n".join(texts))
-        by_doc: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for at, pattern in hits:
-            by_doc[bisect_right(starts, at) - 1].append((at, pattern))
+        buffer = b"\n".join(texts)
+        by_doc: dict[int, list[tuple[int, list[tuple[int, int, int, int]]]]] = defaultdict(list)
+        for search, places in self.searches:
+            for at, pattern in search.find(buffer):
+                by_doc[bisect_right(starts, at) - 1].append((at, places[pattern]))
         found, memo = [], self.memo
         if len(memo) > 2_000_000:
             memo.clear()
-        for d, own in sorted(by_doc.items()):
-            words, spots, at = docs[d], [], starts[d]
-            for w in words:
-                spots.append(at)
-                at += len(w.encode()) + 1
-            offsets: dict[int, set[int]] = defaultdict(set)
-            for at, pattern in own:
-                p = bisect_left(spots, at)
-                for item, q in self.places[pattern]:
-                    offsets[item].add(p - q)
-            for item, seen in sorted(offsets.items()):
-                own_words = self.items[item]
-                has_rare = any(w in self.rare for w in own_words)
-                done = None
-                for o in sorted(seen):
-                    # the band around one diagonal covers its neighbours
-                    if done is not None and o - done <= 4:
-                        continue
-                    low, high = max(0, o - 12), o + len(own_words) + 16
-                    if sum(map(eq, own_words[max(0, -o) :], words[max(0, o) : high])) < LEAST_ON_DIAGONAL:
-                        continue
-                    done = o
-                    if is_passage(align(own_words, words[low:high], o - low, self.rare, memo), has_rare):
-                        found.append((d, item))
-                        break
+        for d, words in enumerate(docs):
+            offsets: dict[tuple[int, int, int], set[int]] = defaultdict(set)
+            like = self.slipped(words)
+            for w, places in like.items():
+                p = -1
+                for _ in range(words.count(w)):
+                    p = words.index(w, p + 1)
+                    for item, q, low, high in places:
+                        offsets[item, low, high].add(p - q)
+            p, passed = 0, 0
+            for at, places in sorted(by_doc.get(d, ()), key=itemgetter(0)):
+                # a word's place is the number of blanks before its own
+                p += texts[d].count(b" ", passed, at - starts[d])
+                passed = at - starts[d]
+                for item, q, low, high in places:
+                    offsets[item, low, high].add(p - q)
+            last = None
+            for (item, start, stop), seen in sorted(offsets.items()):
+                if item != last and self._holds(item, start, stop, sorted(seen), words):
+                    found.append((d, item))
+                    last = item
         return found
 
+    def _holds(self, item: int, start: int, stop: int, offsets: list[int], words: list[str]) -> bool:
+        """Whether a passage of the item lies on one of the diagonals in a document's ``words``."""
+        own_words, telling = self.items[item][start:stop], self.telling.get((item, start))
+        whole = stop - start == len(self.items[item]) and any(w in self.rare for w in own_words)
+        done = None
+        for o in offsets:
+            # the band around one diagonal covers its neighbours
+            if done is not None and o - done <= 4:
+                continue
+            o += start
+            low, high = max(0, o - 12), o + len(own_words) + 16
+            if sum(map(eq, own_words[max(0, -o) :], words[max(0, o) : high])) < LEAST_ON_DIAGONAL:
+                continue
+            done = o - start
+            if whole:
+                score, n, kept, replaced, span = align(own_words, words[low:high], o - low, self.rare, self.memo)
+                # without a distinctive word it lies in a stretch that has its own windows
+                if kept and is_passage((score, n, kept, replaced, span), True):
+                    return True
+                continue
+            if not may_hold(own_words, words[low:high], telling):
+                continue
+            score, n, kept, replaced, span = align(own_words, words[low:high], o - low, telling, self.memo)
+            # stock wording goes on with other names and figures: hardly any of these may differ
+            if replaced * 6 <= kept and is_passage((score, n, kept, replaced, span), False):
+                return True
+        return False
+
 
 def folded_words(text: Column) -> Column:
     """The words of a text, roughly as in ``words_of``; for document counts."""

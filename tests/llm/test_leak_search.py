@@ -77,3 +77,16 @@ def test_short_passages_with_changes(spark):
     parts = changed(20, ("35", "61"), ("nozzle", "spring"), ("layer", "plate"), ("cover", "sleeve"))
     docs = [(k, f"{pad} {p} {pad}") for k, p in enumerate([*passages, short, parts])]
     assert leaks(spark, docs) == [(k, 1) for k in range(len(passages))]
+
+
+PLAIN = "it can then be set down on its left side so that no air may get in from the rear end of the box"
+
+
+def test_slips_in_every_distinctive_word_and_none_at_all(spark):
+    pad = " ".join(FILLER)
+    slipped = " ".join(w[:3] + w[4:] if len(w) >= 5 else w for w in ITEM.replace(",", "").split()[:20])
+    figures = lambda n: PLAIN.replace("side", f"side {n}")
+    items = [(1, ITEM), (2, f"{figures(7)} {ITEM}")]
+    docs = [(1, f"{pad} {slipped} {pad}"), (2, f"{pad} {figures(7)} {pad}"), (3, f"{pad} {figures(8)} {pad}"), (4, pad)]
+    assert leaks(spark, docs, items[:1]) == [(1, 1)]
+    assert leaks(spark, docs[1:], items[1:]) == [(2, 2)]
