@@ -185,6 +185,7 @@ class ItemBlock:
         # test string: (item, place of the string, start and end of what is aligned)
         names: dict[bytes, list[tuple[int, int, int, int]]] = defaultdict(list)
         windows: dict[bytes, list[tuple[int, int, int, int]]] = defaultdict(list)
+        holders = Counter(w for _, words in items for w in set(words))
         self.telling: dict[tuple[int, int], frozenset] = {}
         for item, words in items:
             anchors = [k for k, w in enumerate(words) if w in rare]
@@ -194,8 +195,8 @@ class ItemBlock:
                 low = before + 1
                 if after - low < LEAST_SPAN:
                     continue
-                # what tells such a stretch from one of the same pattern: figures
-                self.telling[item, low] = frozenset(w for w in words[low:after] if w.isdigit())
+                # what tells such a stretch from one of the same pattern: figures, and words of this item that many documents hold
+                self.telling[item, low] = frozenset(w for w in words[low:after] if w.isdigit() or (holders[w] <= RARE_ITEMS and len(w) >= 5))
                 for k in range(low, after - WINDOW + 1):
                     windows[f" {' '.join(words[k : k + WINDOW])} ".encode()].append((item, k, low, after))
         # apart, as the shortest test string bounds the shifts

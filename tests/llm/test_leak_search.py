@@ -90,3 +90,11 @@ def test_slips_in_every_distinctive_word_and_none_at_all(spark):
     docs = [(1, f"{pad} {slipped} {pad}"), (2, f"{pad} {figures(7)} {pad}"), (3, f"{pad} {figures(8)} {pad}"), (4, pad)]
     assert leaks(spark, docs, items[:1]) == [(1, 1)]
     assert leaks(spark, docs[1:], items[1:]) == [(2, 2)]
+
+
+def test_passage_in_a_third_of_the_documents(spark):
+    pad = " ".join(FILLER)
+    hot = " ".join(ITEM.split()[:20])
+    other = hot.replace("griulmistax", "breldon").replace("lortavporel", "kavstin").replace("yantoron", "bazzel").replace("nozzle", "spring").replace("35", "4")
+    docs = [(k, f"{pad} {hot if k < 30 else other if k < 40 else pad} {pad}") for k in range(90)]
+    assert leaks(spark, docs) == [(k, 1) for k in range(30)]
