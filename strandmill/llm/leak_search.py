@@ -80,9 +80,11 @@ def close_words(a: str, b: str) -> bool:
     x, y = len(a), len(b)
     if min(x, y) < 4 or abs(x - y) > 2 or a.isdigit() or b.isdigit():
         return False
-    if a[0] != b[0] and a[-1] != b[-1] and a[0] != b[1:2]:
-        return False
     most = 2 if max(x, y) >= 8 else 1
+    # an edit changes one letter of each word at most
+    s, t = set(a), set(b)
+    if abs(x - y) > most or len(s - t) > most or len(t - s) > most:
+        return False
     before, last = None, list(range(y + 1))
     for i in range(1, x + 1):
         row = [i] * (y + 1)
@@ -297,10 +299,19 @@ class ItemBlock:
         return False
 
 
+def _folds() -> tuple[str, str]:
+    """Lower-case letters with accents and their plain letters; marks without a partner are taken out."""
+    plain = {}
+    for c in map(chr, range(128, 0x2000)):
+        base = _MARKS.sub("", unicodedata.normalize("NFKD", c)).lower()
+        if c == c.lower() and len(base) == 1 and base != c and base.isalnum():
+            plain[c] = base
+    return "".join(plain) + "".join(map(chr, range(0x300, 0x370))) + "\u00ad\u200b\u200c\u200d\u2060\ufeff", "".join(plain.values())
+
+
 def folded_words(text: Column) -> Column:
-    """The words of a text, roughly as in ``words_of``; for document counts."""
-    accents = ("áàâäãåéèêëíìîïóòôöõúùûüçñ", "aaaaaaeeeeiiiiooooouuuucn")
-    return F.split(F.replace(F.translate(F.lower(text), *accents), F.lit("ß"), F.lit("ss")), "[^a-z0-9]+")
+    """The words of a text as in ``words_of``, but that markup and wrongly decoded letters are not repaired."""
+    return F.split(F.replace(F.translate(F.lower(text), *_folds()), F.lit("ß"), F.lit("ss")), r"[^a-z0-9\p{L}\p{N}]+")
 
 
 def document_counts(documents: DataFrame, words: list[str], text: str) -> dict[str, int]:

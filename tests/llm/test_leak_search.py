@@ -1,7 +1,9 @@
 import random
 import re
 
-from strandmill.llm.leak_search import close_words, leaked_items, words_of
+from pyspark.sql import functions as F
+
+from strandmill.llm.leak_search import close_words, folded_words, leaked_items, words_of
 from strandmill.llm.multi_pattern import PatternSearch
 
 FILLER = "the device has a frame and a cover that keeps the motor dry while the pump is running in the house".split()
@@ -98,3 +100,10 @@ def test_passage_in_a_third_of_the_documents(spark):
     other = hot.replace("griulmistax", "breldon").replace("lortavporel", "kavstin").replace("yantoron", "bazzel").replace("nozzle", "spring").replace("35", "4")
     docs = [(k, f"{pad} {hot if k < 30 else other if k < 40 else pad} {pad}") for k in range(90)]
     assert leaks(spark, docs) == [(k, 1) for k in range(30)]
+
+
+def test_slips_at_both_ends_and_counted_words(spark):
+    assert close_words("griulmistax", "briulmistay") and close_words("yantoron", "antorom") and not close_words("yantoron", "bantirom")
+    text = "Žluťoučký KŮŇ čerpadlo, Größe pøhlen ŝanĝo — насос e\u0301te"
+    got = spark.createDataFrame([(text,)], "t string").select(folded_words(F.col("t"))).first()[0]
+    assert [w for w in got if w] == words_of(text)
