@@ -141,9 +141,16 @@ def nested_tables(raw: DataFrame, *, file_id: str = "file_id", body: str = "body
 
 
 def haplotype_sizes(raw: DataFrame, *, file_id: str = "file_id", body: str = "body") -> DataFrame:
-    """``file_id``, ``hap_rank``, ``n_motifs``, ``n_unmatched`` of every haplotype, counted as stored; only counts are shuffled."""
-    sizes = F.transform(
-        "haps", lambda h: F.struct(h["hap_rank"].alias("hap_rank"), F.size(h["motifs"]).alias("n_motifs"), F.size(h["unmatched"]).alias("n_unmatched"))
-    )
-    parsed = parse_records(raw, file_id=file_id, body=body).select("file_id", "_mark", sizes.alias("out"))
-    return once_per_file(parsed).select("file_id", F.inline("out"))
+    """``file_id``, ``hap_rank``, ``n_motifs``, ``n_unmatched`` of every haplotype: the rows of the child tables, counted per parent.
+
+    Files without an id can't be told apart by their children; their haplotypes carry the sizes of their own arrays.
+    """
+    tables = nested_tables(raw, file_id=file_id, body=body)
+    out = tables.haplotypes.select("file_id", "hap_no", "hap_rank", "motif_rows", "unmatched_rows")
+    for children, n in ((tables.motifs, "n_motifs"), (tables.unmatched, "n_unmatched")):
+        out = out.join(children.groupBy("file_id", "hap_no").agg(F.count("*").alias(n)), ["file_id", "hap_no"], "left")
+    without = F.col("file_id").isNull()
+    return out.select(
+        "file_id", "hap_rank",
+        *(F.when(without, F.col(own)).otherwise(F.coalesce(F.col(n), F.lit(0))).cast("int").alias(n) for own, n in (("motif_rows", "n_motifs"), ("unmatched_rows", "n_unmatched"))),
+    )

@@ -43,3 +43,14 @@ def test_twice_and_empty(spark):
     assert out.unmatched.filter("file_id = 1").select("pos", "sequence").first() == (7, "ACG")
     empty = nested_tables(frame(spark, []))
     assert [x.count() for x in (empty.files, empty.haplotypes, empty.motifs, empty.unmatched)] == [0, 0, 0, 0]
+
+
+def test_sizes_count_the_emitted_children(spark, monkeypatch):
+    import strandmill.operators.nested_records as m
+
+    df = frame(spark, [(1, json.dumps({"haplotypes": [HAP, {"rank": 2}]}), "x"), (None, json.dumps({"haplotypes": [HAP]}), "y")])
+    assert sorted(tuple(r)[1:] for r in haplotype_sizes(df).collect()) == [(1, 2, 1), (1, 2, 1), (2, 0, 0)]
+    tables = nested_tables(df)
+    fewer = m.NestedTables(tables.files, tables.haplotypes, tables.motifs.filter("motif_no = 1"), tables.unmatched)
+    monkeypatch.setattr(m, "nested_tables", lambda *_, **__: fewer)
+    assert sorted(tuple(r) for r in haplotype_sizes(df).filter("file_id = 1").collect()) == [(1, 1, 1, 1), (1, 2, 0, 0)]
