@@ -12,15 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandmill.functions.bounded import TooLarge, collect_bounded
+from strandmill.functions.keyed import same_keys
 
 SHEET_FIELDS = (
     "file", "sample", "substrate", "status", "a1", "a2", "mut_len", "variant", "variant_other", "variant_pos", "paired", "run",
 )
 #: The accepted spellings of a status, compared in lower case.
 STATUSES = ("pos", "neg", "unknown", "positive", "positif", "carrier", "negative", "negatif", "négatif")
-#: A reference list of up to this many entries is inlined; a larger one is joined.
-INLINE_REFERENCE = 10_000
 
 # Possessive loops, so that very long fields neither backtrack nor deepen the matcher's stack.
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
@@ -82,8 +80,9 @@ def strict_load(
 
     Defined cases: null and blank lines and header lines are no rows and no faults; an empty table gives two empty
     tables; a line delivered twice under one offset counts as often as it stands there in ``rows`` and once in ``faults``;
-    a null offset is kept (its line can't be subtracted and is diagnosed itself); other columns of ``raw`` are ignored, so
-    their names can't clash. Very long lines are matched without backtracking.
+    a null offset is kept and subtracted like any other; the list may be of any size, its null and repeated entries do not
+    matter, and an empty one knows no variant; other columns of ``raw`` are ignored, so their names can't clash. Very long
+    lines are matched without backtracking.
     """
     base = raw.select(F.col(offset).alias("_at"), clean_line(F.col(line)).alias("_line"))
     base = base.filter(F.col("_line").isNotNull() & (_trim(F.col("_line")) != ""))
@@ -95,26 +94,15 @@ def strict_load(
     shaped = shaped.filter(F.size("_f") == len(fields))
     tests = {
         "mut_len": whole_in(mut_len, *length),
-        "variant": None,
         "status": F.lower(status).isin(*statuses),
     }
 
-    def with_variant(df: DataFrame, fields_at: Column) -> DataFrame:
-        value = F.get(fields_at, F.lit(list(fields).index("variant")))
-        parts = F.when(value == "", F.array().cast("array<string>")).otherwise(_parts(value))
-        try:
-            known = sorted({r[0] for r in collect_bounded(variants.select("variant").filter("variant is not null").distinct(), INLINE_REFERENCE)})
-            ref = F.array(*map(F.lit, known)).cast("array<string>") if known else F.array().cast("array<string>")
-            return df.withColumn("_variant_ok", F.forall(parts, lambda p: F.array_contains(ref, p)))
-        except TooLarge:
-            unknown = (
-                df.select("_at", "_mark", F.explode(F.array_distinct(parts)).alias("variant"))
-                .join(variants.select("variant").distinct(), "variant", "left_anti")
-                .select("_at", "_mark").distinct().withColumn("_bad", F.lit(True))
-            )
-            return df.join(unknown, ["_at", "_mark"], "left").withColumn("_variant_ok", F.col("_bad").isNull()).drop("_bad")
-
-    good = with_variant(shaped, F.col("_f")).filter(F.col("_variant_ok") & tests["mut_len"] & tests["status"])
+    # one row per distinct cell that names an unknown variant; blank cells name none
+    cells = shaped.select(variant.alias("_cell")).filter("_cell != ''").distinct()
+    named = cells.select("_cell", F.explode(F.array_distinct(_parts(F.col("_cell")))).alias("variant"))
+    unknown = named.join(variants.select("variant").distinct(), "variant", "left_anti").select("_cell").distinct()
+
+    good = shaped.withColumn("_cell", variant).join(unknown, "_cell", "left_anti").filter(tests["mut_len"] & tests["status"])
     blank = lambda c: F.when(c != "", c)
     rows = good.select(
         F.col("_at").alias(offset),
@@ -122,10 +110,10 @@ def strict_load(
         F.when(mut_len != "", F.transform(_parts(mut_len), lambda p: F.regexp_extract(p, "^([0-9]+)", 1).cast("int"))).alias("mut_len_list"),
     )
 
-    remainder = base.join(good.select("_at", "_mark"), ["_at", "_mark"], "left_anti").dropDuplicates(["_at", "_mark"])
-    remainder = with_variant(
-        remainder.withColumn("_quoted", F.col("_line").rlike(_RECORD)).withColumn("_f", F.when(F.col("_quoted"), split_record(F.col("_line")))), F.col("_f")
-    )
+    loaded = good.select(F.col("_at").alias("_good_at"), F.col("_mark").alias("_good_mark"))
+    remainder = base.join(loaded, same_keys([("_at", "_good_at"), ("_mark", "_good_mark")]), "left_anti").dropDuplicates(["_at", "_mark"])
+    remainder = remainder.withColumn("_quoted", F.col("_line").rlike(_RECORD)).withColumn("_f", F.when(F.col("_quoted"), split_record(F.col("_line"))))
+    remainder = remainder.withColumn("_cell", variant).join(unknown.withColumn("_unknown", F.lit(True)), "_cell", "left")
     reasons = (
         F.when(~F.col("_quoted"), F.array(F.lit("quoting")))
         .when(F.size("_f") != len(fields), F.array(F.lit("columns")))
@@ -133,7 +121,7 @@ def strict_load(
             F.filter(
                 F.array(
                     F.when(~tests["mut_len"], F.lit("mut_len")),
-                    F.when(~F.col("_variant_ok"), F.lit("variant")),
+                    F.when(F.col("_unknown"), F.lit("variant")),
                     F.when(~tests["status"], F.lit("status")),
                 ),
                 lambda x: x.isNotNull(),

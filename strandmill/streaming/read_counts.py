@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmill.functions.lineage import checkpoint_folder
 from strandmill.sources import load_table
 
 
@@ -40,9 +41,4 @@ def run_counts(reads: DataFrame, target: str) -> DataFrame:
 
 def new_folder(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder of the session."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return f"{context.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    return f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"

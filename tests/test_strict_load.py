@@ -47,9 +47,14 @@ def test_edges(spark):
     assert run(spark, [(1, ('"' + 'a""b' * 20_000 + '"') + ",S1,raw,pos,40,50,50,,,,,")])[0] == {1}
 
 
-def test_large_reference_is_joined(spark, monkeypatch):
-    import strandmill.operators.strict_load as m
-
-    monkeypatch.setattr(m, "INLINE_REFERENCE", 1)
-    good, bad = run(spark, [(1, GOOD), (2, GOOD.replace("22dupC", "22dupX")), (3, GOOD.replace("22dupC", ""))])
-    assert good == {1, 3} and bad == [(2, "variant")]
+def test_null_offsets_and_any_list(spark):
+    lines = [(1, GOOD), (2, GOOD.replace("22dupC", "22dupX")), (3, GOOD.replace("22dupC", "")), (None, GOOD), (None, GOOD.replace("22dupC", "22dupX")), (None, GOOD.replace("22dupC", "a|22dupC"))]
+    raw = spark.createDataFrame([(k, x) for k, x in lines], "line_id bigint, raw_line string")
+    for listed in ([("22dupC",)], [("22dupC",), ("22dupC",), (None,)] + [(f"{k}insA",) for k in range(20_000)]):
+        for threshold in ("10MB", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            out = strict_load(raw, variants(spark, listed))
+            assert sorted((r.line_id or 0 for r in out.rows.collect())) == [0, 1, 3]
+            assert sorted(((r.line_id or 0, r.reason) for r in out.faults.collect())) == [(0, "variant"), (0, "variant"), (2, "variant")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert {r.line_id for r in strict_load(raw, variants(spark, [])).rows.collect()} == {3}
