@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandmill.functions.keyed import split_repeated
+
 _MOTIF = "ARRAY<STRUCT<name: STRING, pos: STRING, length: STRING, mismatches: STRING, sequence: STRING>>"
 _BLOCK = "ARRAY<STRUCT<pos: STRING, sequence: STRING>>"
 _HAP = (
@@ -60,9 +62,24 @@ def _haplotype_entries(text: Column) -> Column:
     return F.coalesce(F.filter(found, lambda x: x["value"].isNotNull()), F.array().cast(pair))
 
 
-def parse_records(raw: DataFrame, *, file_id: str = "file_id", body: str = "body") -> DataFrame:
-    """One row per delivered valid file: ``file_id``, ``sample``, ``haps`` (array of typed haplotypes), ``_mark`` (content hash)."""
-    valid = raw.select(F.col(file_id).alias("file_id"), F.col(body).alias("_body")).filter(F.try_parse_json("_body").isNotNull())
+def deliveries(raw: DataFrame, *, file_id: str = "file_id", body: str = "body", run: str | None = None) -> DataFrame:
+    """Each file once: ``file_id``, ``_body``, ``_key`` (content hash of files without an id, else null) and, if asked for, its least ``run``.
+
+    Only files that come several times are shuffled; of their valid bodies the one of least hash is taken. Files without an
+    id are told apart by content. Bodies of files that come once are not yet checked.
+    """
+    extra = [F.col(run).alias("run")] if run else []
+    held = raw.select(F.col(file_id).alias("file_id"), F.col(body).alias("_body"), *extra)
+    single, several = split_repeated(held, "file_id")
+    key = F.when(F.col("file_id").isNull(), F.xxhash64("_body")).alias("_key")
+    mark = F.when(F.try_parse_json("_body").isNotNull(), F.xxhash64("_body"))
+    chosen = several.groupBy("file_id", key).agg(F.min_by("_body", mark).alias("_body"), *([F.min("run").alias("run")] if run else []))
+    return single.withColumn("_key", key).unionByName(chosen)
+
+
+def parse_records(raw: DataFrame, *, file_id: str = "file_id", body: str = "body", run: str | None = None) -> DataFrame:
+    """One row per valid file: ``file_id``, ``_key``, ``sample``, ``haps`` (array of typed haplotypes) and, if asked for, ``run``."""
+    valid = deliveries(raw, file_id=file_id, body=body, run=run).filter(F.try_parse_json("_body").isNotNull())
     top = valid.withColumn("_top", F.from_json("_body", _TOP))
     pairs = _haplotype_entries(F.coalesce(F.col("_top.haplotypes"), F.col("_top.result.haplotypes")))
 
@@ -83,17 +100,51 @@ def parse_records(raw: DataFrame, *, file_id: str = "file_id", body: str = "body
             F.transform(_entries(h["unmatched"], _BLOCK), lambda u: F.struct(whole(u["pos"]).alias("pos"), u["sequence"].alias("sequence"))).alias("unmatched"),
         )
 
-    return top.select("file_id", F.col("_top.sample").alias("sample"), F.transform(pairs, hap).alias("haps"), F.xxhash64("_body").alias("_mark"))
+    return top.select("file_id", "_key", F.col("_top.sample").alias("sample"), F.transform(pairs, hap).alias("haps"), *(["run"] if run else []))
 
 
-def once_per_file(df: DataFrame, *, value: str = "out") -> DataFrame:
-    """One delivery of each file: ``file_id`` and ``value``.
+def with_previous(events: Column) -> Column:
+    """Array of ``m`` and the element before it, ``p`` (null for the first)."""
+    before = F.concat(F.array(F.lit(None)), F.slice(events, F.lit(1), F.greatest(F.size(events) - 1, F.lit(0))))
+    return F.filter(F.zip_with(events, before, lambda m, p: F.struct(m.alias("m"), p.alias("p"))), lambda x: x["m"].isNotNull())
 
-    Call it after ``value`` has been reduced to what is needed, so that bodies are never shuffled. Files without an id are
-    told apart by content.
-    """
-    key = F.when(F.col("file_id").isNull(), F.col("_mark")).alias("_key")
-    return df.groupBy("file_id", key).agg(F.min_by(value, "_mark").alias(value)).drop("_key")
+
+def in_order(events: Column) -> Column:
+    """Motifs with a position, by position, each position once (as first stored)."""
+    keyed = F.transform(
+        F.filter(events, lambda m: m["pos"].isNotNull()),
+        lambda m, i: F.struct(m["pos"].alias("pos"), i.alias("i"), m["length"].alias("length"), m["name"].alias("name"), m["sequence"].alias("sequence")),
+    )
+    # pairs with the event before: inside a lambda the whole array would be sorted again for each event
+    pairs = with_previous(F.array_sort(keyed))
+    return F.transform(F.filter(pairs, lambda x: x["p"].isNull() | (x["p"]["pos"] != x["m"]["pos"])), lambda x: x["m"])
+
+
+_HAP_COLUMNS = ("contig", "nomenclature", "consensus", "contig_length", "read_count", "n_motifs", "n_exact", "n_approx", "phased", "same_length", "n_reads", "n_fwd", "n_rev")
+
+
+def haplotype_rows(columns: tuple[str, ...] = _HAP_COLUMNS) -> Column:
+    """The rows of the haplotype table of one file, with the file's id and the sizes of the children."""
+    return F.transform(
+        "haps",
+        lambda h: F.struct(
+            F.col("file_id").alias("file_id"), h["hap_no"].alias("hap_no"), h["hap_rank"].alias("hap_rank"), *(h[n].alias(n) for n in columns),
+            F.size(h["motifs"]).alias("motif_rows"), F.size(h["unmatched"]).alias("unmatched_rows"),
+        ),
+    )
+
+
+def child_rows(name: str, index: str, columns: tuple[str, ...]) -> Column:
+    """The rows of one child table of one file, each with the keys of its ancestors and its own index."""
+    return F.flatten(
+        F.transform(
+            "haps",
+            lambda h: F.transform(
+                h[name],
+                lambda m, j: F.struct(F.col("file_id").alias("file_id"), h["hap_no"].alias("hap_no"), h["hap_rank"].alias("hap_rank"), (j + 1).alias(index), *(m[c].alias(c) for c in columns)),
+            ),
+        )
+    )
 
 
 def nested_tables(raw: DataFrame, *, file_id: str = "file_id", body: str = "body") -> NestedTables:
@@ -104,53 +155,23 @@ def nested_tables(raw: DataFrame, *, file_id: str = "file_id", body: str = "body
     below ``result``; ``motifs`` may be JSON text; whole numbers may be stored as text; a missing rank is taken from the
     map key, else from the place in the list; an empty table gives four empty tables; other columns are ignored.
     """
-    parsed = once_per_file(parse_records(raw, file_id=file_id, body=body).select("file_id", "_mark", F.struct("sample", "haps").alias("out")))
-    base = parsed.select("file_id", "out.sample", "out.haps")
-    fid = F.col("file_id")
+    base = parse_records(raw, file_id=file_id, body=body)
     files = base.select("file_id", "sample", F.size("haps").alias("n_haplotypes"))
-    scalars = ("contig", "nomenclature", "consensus", "contig_length", "read_count", "n_motifs", "n_exact", "n_approx", "phased", "same_length", "n_reads", "n_fwd", "n_rev")
-    haplotypes = base.select(
-        F.inline(
-            F.transform(
-                "haps",
-                lambda h: F.struct(
-                    fid.alias("file_id"), h["hap_no"].alias("hap_no"), h["hap_rank"].alias("hap_rank"), *(h[n].alias(n) for n in scalars),
-                    F.size(h["motifs"]).alias("motif_rows"), F.size(h["unmatched"]).alias("unmatched_rows"),
-                ),
-            )
-        )
-    )
-
-    def children(name: str, index: str, columns: tuple[str, ...]) -> DataFrame:
-        rows = F.flatten(
-            F.transform(
-                "haps",
-                lambda h: F.transform(
-                    h[name],
-                    lambda m, j: F.struct(fid.alias("file_id"), h["hap_no"].alias("hap_no"), h["hap_rank"].alias("hap_rank"), (j + 1).alias(index), *(m[c].alias(c) for c in columns)),
-                ),
-            )
-        )
-        return base.select(F.inline(rows))
-
     return NestedTables(
-        files, haplotypes,
-        children("motifs", "motif_no", ("name", "pos", "length", "mismatches", "sequence")),
-        children("unmatched", "block_no", ("pos", "sequence")),
+        files, base.select(F.inline(haplotype_rows())),
+        base.select(F.inline(child_rows("motifs", "motif_no", ("name", "pos", "length", "mismatches", "sequence")))),
+        base.select(F.inline(child_rows("unmatched", "block_no", ("pos", "sequence")))),
     )
 
 
 def haplotype_sizes(raw: DataFrame, *, file_id: str = "file_id", body: str = "body") -> DataFrame:
     """``file_id``, ``hap_rank``, ``n_motifs``, ``n_unmatched`` of every haplotype: the rows of the child tables, counted per parent.
 
-    Files without an id can't be told apart by their children; their haplotypes carry the sizes of their own arrays.
+    One projection emits the rows of the three tables by their keys, so that files are parsed once.
     """
-    tables = nested_tables(raw, file_id=file_id, body=body)
-    out = tables.haplotypes.select("file_id", "hap_no", "hap_rank", "motif_rows", "unmatched_rows")
-    for children, n in ((tables.motifs, "n_motifs"), (tables.unmatched, "n_unmatched")):
-        out = out.join(children.groupBy("file_id", "hap_no").agg(F.count("*").alias(n)), ["file_id", "hap_no"], "left")
-    without = F.col("file_id").isNull()
-    return out.select(
-        "file_id", "hap_rank",
-        *(F.when(without, F.col(own)).otherwise(F.coalesce(F.col(n), F.lit(0))).cast("int").alias(n) for own, n in (("motif_rows", "n_motifs"), ("unmatched_rows", "n_unmatched"))),
-    )
+    keys = lambda rows, kind: F.transform(rows, lambda r: F.struct(r["hap_no"].alias("hap_no"), r["hap_rank"].alias("hap_rank"), F.lit(kind).alias("kind")))
+    emitted = F.concat(keys(haplotype_rows(()), "haplotype"), keys(child_rows("motifs", "no", ()), "motif"), keys(child_rows("unmatched", "no", ()), "unmatched"))
+    rows = parse_records(raw, file_id=file_id, body=body).select("file_id", "_key", F.inline(emitted))
+    count = lambda kind: F.count(F.when(F.col("kind") == kind, 1)).cast("int")
+    counted = rows.groupBy("file_id", "_key", "hap_no", "hap_rank").agg(count("motif").alias("n_motifs"), count("unmatched").alias("n_unmatched"))
+    return counted.select("file_id", "hap_rank", "n_motifs", "n_unmatched")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandmill.functions.bounded import collect_bounded
 from strandmill.functions.tails import binom_tail
-from strandmill.operators.nested_records import nested_tables
+from strandmill.operators.nested_records import in_order, parse_records
 
 UNIT = 60
 
@@ -18,13 +18,12 @@ def decoded_units(raw: DataFrame) -> DataFrame:
     A unit stored twice at one place counts once, as first stored; units without a place or length are left out. ``net`` is
     the length over a whole unit.
     """
-    motifs = nested_tables(raw).motifs.filter("pos is not null and length is not null")
-    once = Window.partitionBy("file_id", "hap_no", "pos").orderBy("motif_no")
-    placed = motifs.withColumn("_r", F.row_number().over(once)).filter("_r = 1")
-    numbered = placed.withColumn("unit", F.row_number().over(Window.partitionBy("file_id", "hap_no").orderBy("pos")))
-    runs = raw.groupBy("file_id").agg(F.min("run").alias("run"))
-    return numbered.join(runs, "file_id").select(
-        "file_id", "run", "hap_no", "hap_rank", "unit", F.trim("name").alias("name"), "pos", "length", (F.col("length") - UNIT).alias("net"), F.upper(F.trim("sequence")).alias("sequence")
+    haps = parse_records(raw, run="run").select("file_id", "run", F.explode("haps").alias("h"))
+    placed = in_order(F.filter(F.col("h.motifs"), lambda m: m["length"].isNotNull()))
+    each = haps.select("file_id", "run", F.col("h.hap_no").alias("hap_no"), F.col("h.hap_rank").alias("hap_rank"), F.posexplode(placed).alias("at", "m"))
+    return each.select(
+        "file_id", "run", "hap_no", "hap_rank", (F.col("at") + 1).alias("unit"), F.trim("m.name").alias("name"), "m.pos", "m.length",
+        (F.col("m.length") - UNIT).alias("net"), F.upper(F.trim("m.sequence")).alias("sequence"),
     )
 
 
