@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from strandmill.functions import tails
 from strandmill.functions.bounded import collect_bounded
-from strandmill.operators import cohort, drifting_schema, lengths
-from strandmill.plans.data_quality import SCORE_FIELDS, SCORE_NAMES
+from strandmill.operators import cohort, lengths
+from strandmill.plans.data_quality import score_table
 from strandmill.plans.length_queries import _PEAKS
 from strandmill.sources import load_table
 
@@ -78,7 +78,7 @@ def fisher_right(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fs_tail_score(spark: SparkSession, folder: str) -> DataFrame:
-    return cohort.tail_scores(drifting_schema.ingest(load_table(spark, folder, "score_rows"), SCORE_FIELDS, promoted=SCORE_NAMES))
+    return cohort.tail_scores(score_table(spark, folder))
 
 
 def variant_family(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,6 +16,7 @@ SCORE_FIELDS = {
 #: Further names approved for a column.
 SCORE_NAMES = {
     "severity_score": ("SeverityScore", "severity-score", "sev_score", "severity"),
+    "mut_is_long": (), "sample": (), "healthy_len": (), "splice_base": (),
     "onset_index": ("OnsetIndex", "onset_idx", "onset_frac", "oi"),
     "ratio": ("len_ratio", "ratio_vntr"), "position": ("mut_position", "repeat_pos"), "mut_len": ("vntr_len_mut", "l_mut"),
     "fs_tail": ("tail_len", "frameshift_tail"),
@@ -23,12 +24,17 @@ SCORE_NAMES = {
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    found = drifting_schema.schema_changes(load_table(spark, folder, "score_rows"))
+    found = drifting_schema.schema_changes(drifting_schema.ingest(load_table(spark, folder, "score_rows"), SCORE_FIELDS), SCORE_FIELDS)
     return found.select(F.col("file_id").cast("bigint"), "field_name", "change_kind", "new_name")
 
 
+def score_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All score rows as one table, approved names replayed."""
+    return drifting_schema.replay(drifting_schema.ingest(load_table(spark, folder, "score_rows"), SCORE_FIELDS), SCORE_NAMES)
+
+
 def p2_score_table(spark: SparkSession, folder: str) -> DataFrame:
-    return drifting_schema.ingest(load_table(spark, folder, "score_rows"), SCORE_FIELDS, promoted=SCORE_NAMES)
+    return score_table(spark, folder)
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
