@@ -1,19 +1,24 @@
 """Repeated consecutive events: runs found by a regular expression over symbol strings.
 
-Each event becomes one code point, the events of an entity one string in order, and a backreference finds the
-repetitions; the offsets of the matches map back to the events' positions. Everything is a per-row array expression: no
-shuffle of events and no Python.
+The events of an entity become one string in order, a code point per canonical event, and a backreference finds the
+repetitions of equal events. Events that continue the one before without being equal to it, and places where a run cannot go
+on, carry a mark before their code point. The matches map back to the events' positions. Everything is a per-row array
+expression of linear cost: no shuffle of events and no Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandmill.operators.nested_records import parse_records
+from strandmill.operators.nested_records import in_order, parse_records, with_previous
 
-#: Private-use code points; neighbours that differ get different ones, so a few thousand are enough for any length.
+#: Private-use code points for canonical events. A break between runs is marked, so two events of one code point never meet by chance.
 FIRST_SYMBOL, SYMBOLS = 0xE000, 6_400
+#: Marks before an event that starts anew, and before one that continues its neighbour without being equal.
+BREAK, NEAR = "|", "~"
+#: One run: equal events, joined by near ones. Possessive, so that long runs neither backtrack nor deepen the matcher's stack.
+RUN = rf"(?s)([^{BREAK}{NEAR}])\1*+(?:{NEAR}([^{BREAK}{NEAR}])\2*+)*+"
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -22,68 +27,55 @@ def differing(a: Column, b: Column) -> Column:
     return F.aggregate(pairs, F.lit(0), lambda n, x: n + x)
 
 
+def _bases(m: Column) -> Column:
+    return F.when(F.trim(m["sequence"]) != "", F.upper(F.trim(m["sequence"])))
+
+
+def _name(m: Column) -> Column:
+    return F.when(F.trim(m["name"]) != "", F.trim(m["name"]))
+
+
+def canonical(m: Column) -> Column:
+    """What an event is, apart from its place: its sequence, or its name where it has none."""
+    return F.coalesce(F.concat(F.lit("s"), _bases(m)), F.concat(F.lit("n"), _name(m)), F.lit(""))
+
+
 def same_unit(a: Column, b: Column, most: int) -> Column:
     """Sequences of equal length that differ in at most ``most`` bases; where either has none, equal names."""
-    clean = lambda c: F.when(F.trim(c) != "", F.upper(F.trim(c)))
-    x, y = clean(a["sequence"]), clean(b["sequence"])
-    name = lambda m: F.when(F.trim(m["name"]) != "", F.trim(m["name"]))
+    x, y = _bases(a), _bases(b)
     # edits are never more than differing places: the cheap bound goes first
     near = F.when(x == y, True).when(F.length(x) != F.length(y), False).when(F.levenshtein(x, y, most) < 0, False).otherwise(differing(x, y) <= most)
-    return F.coalesce(F.when(x.isNotNull() & y.isNotNull(), near).otherwise(name(a) == name(b)), F.lit(False))
-
-
-def in_order(events: Column) -> Column:
-    """Events with a position, by position, each position once (as first stored)."""
-    keyed = F.transform(
-        F.filter(events, lambda m: m["pos"].isNotNull()),
-        lambda m, i: F.struct(m["pos"].alias("pos"), i.alias("i"), m["length"].alias("length"), m["name"].alias("name"), m["sequence"].alias("sequence")),
-    )
-    # pairs with the event before: inside a lambda the whole array would be sorted again for each event
-    pairs = with_previous(F.array_sort(keyed))
-    return F.transform(F.filter(pairs, lambda x: x["p"].isNull() | (x["p"]["pos"] != x["m"]["pos"])), lambda x: x["m"])
+    return F.coalesce(F.when(x.isNotNull() & y.isNotNull(), near).otherwise(_name(a) == _name(b)), F.lit(False))
 
 
-def with_previous(events: Column) -> Column:
-    """Array of ``m`` and the element before it, ``p`` (null for the first)."""
-    before = F.concat(F.array(F.lit(None)), F.slice(events, F.lit(1), F.greatest(F.size(events) - 1, F.lit(0))))
-    return F.filter(F.zip_with(events, before, lambda m, p: F.struct(m.alias("m"), p.alias("p"))), lambda x: x["m"].isNotNull())
+def _symbol(event: Column) -> Column:
+    code = F.lit(FIRST_SYMBOL) + F.pmod(F.xxhash64(canonical(event)), F.lit(SYMBOLS))
+    return F.decode(F.unhex(F.hex(code)), "UTF-16BE")
 
 
-def symbol_string(events: Column, most: int) -> Column:
-    """One code point per event; an event has its predecessor's if it continues it without a gap."""
-    new = F.transform(
-        with_previous(events),
-        lambda x: F.when(x["p"].isNotNull() & (x["p"]["pos"] + x["p"]["length"] == x["m"]["pos"]) & same_unit(x["p"], x["m"], most), 0).otherwise(1),
-    )
-    # running count of changes, as code points
-    state = F.aggregate(
-        new,
-        F.struct(F.lit(0).alias("n"), F.lit("").alias("s")),
-        lambda a, x: F.struct((a["n"] + x).alias("n"), F.concat(a["s"], _symbol(a["n"] + x)).alias("s")),
-    )
-    return state["s"]
+def marked_symbols(events: Column, most: int) -> Column:
+    """Per event its code point, with a mark before it unless it equals the event before and follows it without a gap."""
 
+    def one(x: Column) -> Column:
+        m, p = x["m"], x["p"]
+        follows = F.coalesce(p["pos"] + p["length"] == m["pos"], F.lit(False)) & same_unit(p, m, most)
+        mark = F.when(~follows, BREAK).when(canonical(p) == canonical(m), "").otherwise(NEAR)
+        return F.concat(mark, _symbol(m))
 
-def _symbol(n: Column) -> Column:
-    code = F.lit(FIRST_SYMBOL) + n % SYMBOLS
-    return F.decode(F.concat(F.unhex(F.hex((code / 256).cast("int"))), F.unhex(F.lpad(F.hex(code % 256), 2, "0"))), "UTF-16BE")
+    return F.transform(with_previous(events), one)
 
 
-def runs(events: Column, *, most: int = 2, least: int = 2) -> Column:
+def runs_of(events: Column, symbols: Column, least: int) -> Column:
     """Array of ``start_pos``, ``end_pos``, ``n_units`` of the maximal runs of ``least`` or more events."""
-    ordered = in_order(events)
-    return _runs_of(ordered, symbol_string(ordered, most), least)
-
-
-def _runs_of(ordered: Column, symbols: Column, least: int) -> Column:
-    tiles = F.transform(F.regexp_extract_all(symbols, F.lit(r"(?s)((.)\2*+)"), 1), F.length)
-    ends = F.aggregate(tiles, F.array().cast("array<int>"), lambda a, n: F.concat(a, F.array(F.coalesce(F.element_at(F.concat(F.array(F.lit(0)), a), -1), F.lit(0)) + n)))
-    spans = F.zip_with(ends, tiles, lambda e, n: F.struct((e - n).alias("first"), (e - 1).alias("last"), n.alias("n")))
+    # every break starts one match: the k-th match begins at the k-th break
+    starts = F.filter(F.transform(symbols, lambda s, i: F.when(s.startswith(BREAK), i)), lambda i: i.isNotNull())
+    sizes = F.transform(F.regexp_extract_all(F.array_join(symbols, ""), F.lit(RUN), 0), lambda t: F.length(F.replace(t, F.lit(NEAR), F.lit(""))))
+    spans = F.filter(F.zip_with(starts, sizes, lambda i, n: F.struct(i.alias("first"), (i + n - 1).alias("last"), n.alias("n"))), lambda r: r["n"] >= least)
     return F.transform(
-        F.filter(spans, lambda r: r["n"] >= least),
+        spans,
         lambda r: F.struct(
-            F.get(ordered, r["first"])["pos"].alias("start_pos"),
-            (F.get(ordered, r["last"])["pos"] + F.coalesce(F.get(ordered, r["last"])["length"], F.lit(0))).alias("end_pos"),
+            F.get(events, r["first"])["pos"].alias("start_pos"),
+            (F.get(events, r["last"])["pos"] + F.coalesce(F.get(events, r["last"])["length"], F.lit(0))).alias("end_pos"),
             r["n"].alias("n_units"),
         ),
     )
@@ -92,18 +84,16 @@ def _runs_of(ordered: Column, symbols: Column, least: int) -> Column:
 def motif_runs(raw: DataFrame, *, file_id: str = "file_id", body: str = "body", most: int = 2, least: int = 2) -> DataFrame:
     """Every run of one repeat unit in the haplotypes of analyzer files: ``file_id``, ``hap_rank``, ``start_pos``, ``end_pos``, ``n_units``.
 
+    Being the same unit is no equivalence (two neighbours may each be near a third unit), so near neighbours are compared in
+    pairs along the array and joined by a mark; runs of equal units are found by the regular expression alone.
+
     Defined cases: files as in ``parse_records`` (invalid and null bodies give nothing, a file delivered twice counts
     once); events without a position are no events; an event stored twice at one position counts once, as first stored;
     an event without a length ends a run; without sequence and name it equals nothing; empty arrays and an empty table
-    give no rows; very long arrays stay within one row's expression; other columns are ignored.
+    give no rows; arrays of any length are read in time in proportion to it; other columns are ignored.
     """
-    haps = parse_records(raw, file_id=file_id, body=body).select("file_id", "_mark", F.explode("haps").alias("h"))
+    haps = parse_records(raw, file_id=file_id, body=body).select("file_id", F.explode("haps").alias("h"))
     # materialised step by step, else each expression would repeat the ones below it
-    ordered = haps.select("file_id", "_mark", F.col("h.hap_no").alias("no"), F.col("h.hap_rank").alias("hap_rank"), in_order(F.col("h.motifs")).alias("e"))
-    coded = ordered.withColumn("s", symbol_string(F.col("e"), most))
-    found = coded.select("file_id", "_mark", "no", "hap_rank", _runs_of(F.col("e"), F.col("s"), least).alias("out"))
-    key = F.when(F.col("file_id").isNull(), F.col("_mark"))
-    # deliveries of one file are equal in content but perhaps not in order: one delivery is taken whole; only run lists are shuffled
-    each = found.groupBy("file_id", key.alias("_k"), "_mark", "no").agg(F.min("hap_rank").alias("hap_rank"), F.min("out").alias("out"))
-    chosen = each.withColumn("_first", F.min("_mark").over(Window.partitionBy("file_id", "_k"))).filter("_mark = _first")
-    return chosen.select("file_id", "hap_rank", F.inline("out"))
+    ordered = haps.select("file_id", F.col("h.hap_rank").alias("hap_rank"), in_order(F.col("h.motifs")).alias("e"))
+    coded = ordered.withColumn("s", marked_symbols(F.col("e"), most))
+    return coded.select("file_id", "hap_rank", F.inline(runs_of(F.col("e"), F.col("s"), least)))

@@ -1,4 +1,5 @@
 import json
+import time
 
 from strandmill.llm.event_runs import motif_runs
 
@@ -47,3 +48,19 @@ def test_long_array(spark):
     body = {"haplotypes": [hap(*(motif(8 * k, A if k % 7 else "TTTTTTTT") for k in range(15_000)))]}
     got = found(spark, body)
     assert len(got) == 2143 and got[0][4] == 6 and sum(r[4] for r in got) == 15_000 - 2143
+
+
+def test_long_chains_of_near_units_and_linear_time(spark):
+    def seconds(n):
+        # runs of two equal units, then a chain in which each unit is near its neighbour only
+        units = [(A, "TTTTTTTT")[(k // 2) % 2] for k in range(n // 2)] + [(A, B)[k % 2] for k in range(n - n // 2)]
+        body = {"haplotypes": [hap(*(motif(8 * k, u) for k, u in enumerate(units)))]}
+        began = time.perf_counter()
+        got = found(spark, body)
+        took = time.perf_counter() - began
+        assert sum(r[4] for r in got) == n and max(r[4] for r in got) >= n - n // 2 and len(got) in (n // 4, n // 4 + 1)
+        return took
+
+    seconds(8_000)
+    short, long = seconds(32_000), seconds(128_000)
+    assert long < 4 * short + 5
