@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandmill.llm.similarity_join import SALTS, best_match, similar_pairs
+from strandmill.functions.keyed import attach
+from strandmill.functions.lineage import checkpointed
+from strandmill.llm.similarity_join import best_match, similar_pairs
 
 #: Names are compared from this similarity on; a change must agree in every token.
 NAME_SIMILARITY = 0.55
@@ -131,19 +133,20 @@ def map_entries(rows: DataFrame, reference: DataFrame, *, key: str = "row_id", v
     """
     entries = _entries(rows, key, value)
     readings = F.array_distinct(F.array(change_text(F.col("entry")), change_text(F.col("entry"), digit_first=True)))
-    texts = entries.groupBy("entry").agg(F.count("*").alias("_n")).select("entry", F.explode(readings).alias("text"), fold(F.col("entry")).alias("folded"))
+    texts = entries.groupBy("entry").agg(F.count("*").alias("n")).select("entry", "n", F.explode(readings).alias("text"), fold(F.col("entry")).alias("folded"))
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.col("folded"), r"@? ?repeat ?[0-9lo]+|\(conf\.?\)|\bhet\b|[?!*]", " "), "^[a-z]-", ""))
-    sets = texts.select(F.struct("entry", "text").alias("id"), plain.alias("plain"), F.coalesce(change_tokens(F.col("text")), name_tokens(plain)).alias("tokens"))
-    known = reference_sets(reference)
+    # one row per distinct reading, and the list: both are read several times below, so that they are worked out once
+    sets = checkpointed(texts.select(F.struct("entry", "text").alias("id"), "n", plain.alias("plain"), F.coalesce(change_tokens(F.col("text")), name_tokens(plain)).alias("tokens")))
+    known = checkpointed(reference_sets(reference))
     pairs = similar_pairs(sets.select("id", "tokens"), known.select("id", "tokens"), NAME_SIMILARITY)
     pairs = pairs.join(known.select(F.col("id").alias("right_id"), "variant_id", "name"), "right_id").join(sets.select(F.col("id").alias("left_id"), "plain"), "left_id")
     close = F.when(F.col("name").isNull(), F.col("similarity") > 1 - 1e-9).otherwise(F.levenshtein("plain", "name") <= NAME_EDITS)
     best = best_match(pairs.filter(close).select(F.col("left_id.entry").alias("left_id"), F.col("variant_id").alias("right_id"), "similarity"))
-    found = best.select(F.col("left_id").alias("entry"), F.col("right_id").alias("variant_id"), "similarity")
-    # one spelling may fill a third of the rows: its rows are spread over salts
-    copies = found.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    salted = entries.withColumn("salt", F.pmod(F.xxhash64("key", "at"), F.lit(SALTS)).cast("bigint"))
-    joined = salted.join(copies, ["entry", "salt"], "left")
+    spelled = sets.select("id.entry", "n").distinct()
+    found = spelled.join(best.select(F.col("left_id").alias("entry"), F.col("right_id").alias("variant_id"), "similarity"), "entry", "left")
+    # one spelling may fill a third of the rows: frequent ones, matched or not, are broadcast
+    total = spelled.agg(F.sum("n")).first()[0] or 0
+    joined = attach(entries, found, "entry", "n", total)
     return joined.select(
         F.col("key").alias(key), (F.col("at") + 1).alias("entry_no"), "entry", F.coalesce("variant_id", F.lit(0)).cast("int").alias("variant_id"), "similarity"
     )
