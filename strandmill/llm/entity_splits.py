@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandmill.functions.bounded import collect_bounded
+from strandmill.functions.keyed import attach
 
 #: The codes that name a subject.
 SUBJECT_CODES = ("KB", "TM", "RO", "VD", "LS")
-#: A component with more than this part of all records is placed before the blocks; so there are at most so many.
-LARGE_PARTS = 2_000
+#: A component with more than this part of the smallest split's share is placed before the blocks. There are never more such
+#: components than ``LARGE_PARTS``: where a share is tiny, a component must also hold that part of all records.
+LARGE_SHARE, LARGE_PARTS = 0.05, 2_000
 #: Components annealed together.
 BLOCK_COMPONENTS = 4_000
 #: Independent searches per block.
@@ -39,13 +41,10 @@ def subject_of(sample: Column, codes: Sequence[str] = SUBJECT_CODES) -> Column:
     return F.when(code != "", F.concat_ws("-", code, F.regexp_extract(text, pattern, 2)))
 
 
-def attach(rows: DataFrame, small: DataFrame, key: str, weight: str, total: int) -> DataFrame:
-    """``rows`` joined to one row per ``key``; keys that hold over 1/1000 of all rows are broadcast, there are at most 1000."""
-    hot = (F.col(weight) > total / 1000) if total else F.lit(False)
-    listed = small.filter(hot)
-    marked = rows.join(F.broadcast(listed.select(key, F.lit(True).alias("_hot"))), key, "left")
-    usual = marked.filter("_hot is null").drop("_hot").join(small.filter(~hot), key)
-    return usual.unionByName(rows.join(F.broadcast(listed), key))
+def components(rows: DataFrame, id: str, sample: str) -> DataFrame:
+    """``rows`` with ``id``, ``subject`` and ``component``: the subject, or the record itself where it has none."""
+    held = rows.withColumn("id", F.col(id)).withColumn("subject", subject_of(F.col(sample)))
+    return held.withColumn("component", F.coalesce("subject", F.concat(F.lit("row "), F.col("id").cast("string")), F.lit("row")))
 
 
 def related_groups(rows: DataFrame, *, id: str = "feature_id", sample: str = "sample") -> DataFrame:
@@ -54,7 +53,7 @@ def related_groups(rows: DataFrame, *, id: str = "feature_id", sample: str = "sa
     Defined cases: null names and names without a subject are in no group; a repeated row stays repeated; an empty table
     gives no rows; other columns are ignored.
     """
-    named = rows.select(F.col(id).alias("id"), subject_of(F.col(sample)).alias("subject")).filter("subject is not null and id is not null")
+    named = components(rows.select(id, sample), id, sample).select("id", "subject").filter("subject is not null and id is not null")
     groups = named.groupBy("subject").agg(F.min("id").alias("group_id"), F.count("*").alias("n")).filter("n > 1")
     total = rows.count()
     return attach(named, groups, "subject", "n", total).select(F.col("id").alias(id), "group_id")
@@ -117,23 +116,23 @@ def assign_splits(
     a subject get one split; the counts of records, and of each value of ``label`` (true, false, null), follow the shares.
     A record without subject is a component of its own. Defined cases: repeated rows stay repeated and together; a subject
     larger than its share stays whole; an empty table gives no rows; an empty plan raises ``ValueError``; other columns
-    are ignored.
+    are ignored. Components of more than ``LARGE_SHARE`` of the smallest split are placed first, on the driver; there are at
+    most ``LARGE_PARTS``. All others are searched in parallel blocks, each aiming at the shares the large ones leave open.
     """
     splits = sorted((r[0], max(float(r[1] or 0), 0.0)) for r in collect_bounded(plan.select("split_name", "share").filter("split_name is not null"), 1_000))
     whole = sum(s for _, s in splits)
     if whole <= 0:
         raise ValueError("the plan has no share above 0")
     names, shares = [n for n, _ in splits], np.array([s / whole for _, s in splits])
-    named = rows.select(
-        F.col(id).alias("id"), subject_of(F.col(sample)).alias("subject"), F.coalesce(F.col(label).cast("string"), F.lit("null")).alias("label")
-    ).withColumn("component", F.coalesce("subject", F.concat(F.lit("row "), F.col("id").cast("string")), F.lit("row")))
+    named = components(rows.select(F.col(id), F.col(sample), F.coalesce(F.col(label).cast("string"), F.lit("null")).alias("_label")), id, sample)
+    named = named.select("id", "subject", "component", F.col("_label").alias("label"))
     comps = named.groupBy("component").agg(
         F.count("*").cast("double").alias("n"), *(F.count(F.when(F.col("label") == v, 1)).cast("double").alias(f"l_{v}") for v in ("true", "false", "null"))
     )
     cols = ["n", "l_true", "l_false", "l_null"]
     total_row = comps.agg(F.count("*").alias("c"), *(F.sum(c).alias(c) for c in cols)).first()
     total = np.array([float(total_row[c] or 0) for c in cols])
-    limit = max(total[0] / LARGE_PARTS, 1.0)
+    limit = max(LARGE_SHARE * shares[shares > 0].min() * total[0], total[0] / LARGE_PARTS)
     blocks = max(1, math.ceil((total_row["c"] or 0) / BLOCK_COMPONENTS))
 
     # at most LARGE_PARTS rows by the limit's definition

@@ -40,6 +40,19 @@ def test_splits_follow_the_plan(spark, monkeypatch):
         assert abs(sum(r.split_name == name for r in out) / len(items) - share) < 0.01
 
 
+def test_parallel_blocks_alone(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK_COMPONENTS", 100)
+    driver = []
+    monkeypatch.setattr(m, "collect_bounded", lambda df, n: driver.append(df.limit(n + 1).collect()) or driver[-1])
+    # small table, every component of several records: none is placed on the driver
+    items = [(k, f"KB-{k // 4}", k // 4 % 3 == 0) for k in range(1_600)]
+    out = assign_splits(rows(spark, items), spark.createDataFrame(PLAN, "split_name string, share double")).collect()
+    assert driver[1] == [] and len({(r.subject, r.split_name) for r in out}) == 400
+    for name, share in PLAN:
+        mine = [r.feature_id for r in out if r.split_name == name]
+        assert abs(len(mine) / 1_600 - share) < 0.01 and abs(sum(k // 4 % 3 == 0 for k in mine) / 536 - share) < 0.02
+
+
 def test_edges(spark):
     plan = spark.createDataFrame([("a", 3.0), ("b", 1.0), ("c", None), (None, 1.0)], "split_name string, share double")
     assert assign_splits(rows(spark, []), plan).count() == 0
