@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import strandmill.llm.source_mixing as m
 from strandmill.llm.source_mixing import budgets, draw_mixture, reached_shares
@@ -36,10 +37,45 @@ def test_shares_are_reached(spark, monkeypatch):
     assert {r.source for r in rows} == {"big", "small"} and max(r.repeats for r in rows if r.source == "big") == 1
     shares = {r.source: r.reached_share for r in reached_shares(out, targets).collect()}
     assert abs(shares["big"] - 0.6) < 0.01 and abs(shares["small"] - 0.4) < 0.01 and shares["none"] == 0
-    # drawn by key order alone: brute force over the keys gives the same set
     assert sorted((r.doc_id, r.repeats) for r in rows) == sorted((r.doc_id, r.repeats) for r in draw_mixture(docs(spark, items[::-1]), targets).collect())
 
 
+@pytest.mark.parametrize("total", [None, 4_000])
+def test_drawing_equals_brute_force(spark, monkeypatch, total):
+    monkeypatch.setattr(m, "RANGES", 16)
+    items = [(k, "word " * (1 + k * 7 % 13), ("a", "b")[k % 3 == 0], 0.05 + k % 10 / 10) for k in range(900)]
+    df = spark.createDataFrame(items, "doc_id bigint, text string, source string, grade double")
+    targets = [("a", 0.3, 1), ("b", 0.7, 3)]
+    got = {r.doc_id: r.repeats for r in draw_mixture(df, spark.createDataFrame(targets, TARGETS), quality="grade", total_tokens=total).collect()}
+    keys = {r.doc_id: r.key for r in df.select("doc_id", m.sampling_key(F.col("doc_id"), F.col("grade"), 11).alias("key")).collect()}
+    sizes = {r.doc_id: r.n_tokens for r in m.count_tokens(df, ["doc_id"]).collect()}
+    held = {s: sorted((k for k, _, own, _ in items if own == s), key=lambda k: (keys[k], k)) for s in "ab"}
+    expected = {}
+    for s, (_, epochs, left) in budgets([(s, sum(sizes[k] for k in held[s])) for s in "ab"], targets, total).items():
+        reached, best = 0, (left, 0)
+        for n, k in enumerate(held[s], 1):
+            reached += sizes[k]
+            # the later of two equally near ends is taken
+            if abs(left - reached) <= best[0]:
+                best = (abs(left - reached), n)
+        for n, k in enumerate(held[s]):
+            if times := epochs + (left > 0 and n < best[1]):
+                expected[k] = times
+    assert got == expected
+
+
+@pytest.mark.parametrize("weights", ["0.1", "0.2", "1.0", "if(id % 2 = 0, 0.1, 1.0)", "0.1 + (id % 91) / 100", "pow(10, (id % 7) - 3)"])
+def test_no_key_range_is_hot(spark, weights):
+    df = spark.range(200_000).withColumn("q", F.expr(weights).cast("double")).withColumn("key", m.sampling_key(F.col("id"), F.col("q"), 11))
+    spread = m.shares_of([(2.0 ** (r[0] / m.STEPS), r[1]) for r in df.groupBy(m.weight_step(F.col("q"))).count().collect()])
+    laid = F.array(*(F.struct(F.lit(a).alias("rate"), F.lit(b).alias("share")) for a, b in spread))
+    ranged = df.withColumn("range", m.key_range(F.col("key"), laid))
+    assert ranged.groupBy("range").count().agg(F.max("count")).first()[0] < 2_000
+    # ranges keep the order of the keys
+    edges = ranged.groupBy("range").agg(F.min("key"), F.max("key")).orderBy("range").collect()
+    assert all(a[2] <= b[1] for a, b in zip(edges, edges[1:]))
+
+
 def test_edges(spark):
     targets = spark.createDataFrame([("a", 1.0, 2)], TARGETS)
     assert draw_mixture(docs(spark, []), targets).count() == 0
