@@ -95,11 +95,12 @@ def change_tokens(text: Column) -> Column:
 
 def name_tokens(text: Column) -> Column:
     """Letters, numbered where they recur, and letter pairs of a name."""
-    letters = F.split(F.regexp_replace(text, "[^a-z0-9]", ""), "")
-    numbered = F.transform(letters, lambda c, i: F.concat(F.lit("letter:"), c, F.size(F.filter(F.slice(letters, F.lit(1), i + 1), lambda d: d == c)).cast("string")))
-    padded = F.concat(F.lit("^"), F.array_join(letters, ""), F.lit("$"))
-    pairs = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.concat(F.lit("pair:"), F.substring(padded, i, F.lit(2))))
-    return F.when(F.length(padded) > 3, F.concat(numbered, pairs))
+    letters = F.filter(F.split(F.regexp_replace(text, "[^a-z0-9]", ""), ""), lambda c: c != "")
+    times = lambda c: F.sequence(F.lit(1), F.size(F.filter(letters, lambda d: d == c)))
+    numbered = F.flatten(F.transform(F.array_distinct(letters), lambda c: F.transform(times(c), lambda i: F.concat(F.lit("letter:"), c, i.cast("string")))))
+    padded = F.concat(F.array(F.lit("^")), letters, F.array(F.lit("$")))
+    pairs = F.zip_with(F.slice(padded, 1, F.size(padded) - 1), F.slice(padded, 2, F.size(padded) - 1), lambda x, y: F.concat(F.lit("pair:"), x, y))
+    return F.when(F.size(letters) > 1, F.concat(numbered, pairs))
 
 
 def reference_sets(reference: DataFrame) -> DataFrame:
@@ -136,13 +137,14 @@ def map_entries(rows: DataFrame, reference: DataFrame, *, key: str = "row_id", v
     texts = entries.groupBy("entry").agg(F.count("*").alias("n")).select("entry", "n", F.explode(readings).alias("text"), fold(F.col("entry")).alias("folded"))
     plain = F.trim(F.regexp_replace(F.regexp_replace(F.col("folded"), r"@? ?repeat ?[0-9lo]+|\(conf\.?\)|\bhet\b|[?!*]", " "), "^[a-z]-", ""))
     # one row per distinct reading, and the list: both are read several times below, so that they are worked out once
-    sets = checkpointed(texts.select(F.struct("entry", "text").alias("id"), "n", plain.alias("plain"), F.coalesce(change_tokens(F.col("text")), name_tokens(plain)).alias("tokens")))
+    # a short id, as it is copied to each token of a perhaps very long entry
+    sets = checkpointed(texts.select(F.sha2(F.concat_ws("\u0000", "entry", "text"), 256).alias("id"), "entry", "n", plain.alias("plain"), F.coalesce(change_tokens(F.col("text")), name_tokens(plain)).alias("tokens")))
     known = checkpointed(reference_sets(reference))
     pairs = similar_pairs(sets.select("id", "tokens"), known.select("id", "tokens"), NAME_SIMILARITY)
-    pairs = pairs.join(known.select(F.col("id").alias("right_id"), "variant_id", "name"), "right_id").join(sets.select(F.col("id").alias("left_id"), "plain"), "left_id")
+    pairs = pairs.join(known.select(F.col("id").alias("right_id"), "variant_id", "name"), "right_id").join(sets.select(F.col("id").alias("left_id"), "entry", "plain"), "left_id")
     close = F.when(F.col("name").isNull(), F.col("similarity") > 1 - 1e-9).otherwise(F.levenshtein("plain", "name") <= NAME_EDITS)
-    best = best_match(pairs.filter(close).select(F.col("left_id.entry").alias("left_id"), F.col("variant_id").alias("right_id"), "similarity"))
-    spelled = sets.select("id.entry", "n").distinct()
+    best = best_match(pairs.filter(close).select(F.col("entry").alias("left_id"), F.col("variant_id").alias("right_id"), "similarity"))
+    spelled = sets.select("entry", "n").distinct()
     found = spelled.join(best.select(F.col("left_id").alias("entry"), F.col("right_id").alias("variant_id"), "similarity"), "entry", "left")
     # one spelling may fill a third of the rows: frequent ones, matched or not, are broadcast
     total = spelled.agg(F.sum("n")).first()[0] or 0
