@@ -1,7 +1,7 @@
 """Evaluation texts leaking into training text, found by Wu-Manber search and confirmed by alignment.
 
 The held-out items are a stated query set and are read in blocks of bounded size; each block becomes test strings for one
-pass over whole documents. A passage is confirmed by aligning the words of item and document around the test strings.
+pass over whole documents. What is rare is counted over all items and all documents, so blocks don't change what is found. A passage is confirmed by aligning the words of item and document around the test strings.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ import html
 import re
 import unicodedata
 from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from operator import eq, itemgetter
 
@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.functions.bounded import collect_bounded
+from strandmill.functions.keyed import small_side
+from strandmill.functions.lineage import checkpointed
 from strandmill.llm.multi_pattern import PatternSearch
 
 #: Items per pass over the documents; the test strings of one pass go to every executor.
@@ -175,30 +177,31 @@ def slips(word: str) -> int:
 
 
 class ItemBlock:
-    """Test strings of a block of items.
+    """Test strings of a block of items, each a text of its own even where several stand under one id.
 
     A passage that holds distinctive words keeps one of them at least, perhaps with slips; one that holds none lies in a
     stretch of ``LEAST_SPAN`` words or more without any. So distinctive words, with their slips, and the windows of such stretches
-    are all test strings needed.
+    are all test strings needed. ``rare`` are the distinctive words, ``own`` the words that hardly any other item holds.
     """
 
-    def __init__(self, items: list[tuple[int, list[str]]], rare: frozenset):
-        self.items, self.rare = dict(items), rare
-        # test string: (item, place of the string, start and end of what is aligned)
+    def __init__(self, items: list[tuple[int, list[str]]], rare: frozenset, own: frozenset):
+        self.ids, self.items, self.rare = [i for i, _ in items], [words for _, words in items], rare
+        # test string: (item's place, place of the string, start and end of what is aligned)
         names: dict[bytes, list[tuple[int, int, int, int]]] = defaultdict(list)
         windows: dict[bytes, list[tuple[int, int, int, int]]] = defaultdict(list)
-        holders = Counter(w for _, words in items for w in set(words))
         self.telling: dict[tuple[int, int], frozenset] = {}
-        for item, words in items:
+        for item, words in enumerate(self.items):
             anchors = [k for k, w in enumerate(words) if w in rare]
+            # what tells an item from a sentence of the same pattern: figures, and words of this item that many documents hold
+            told = frozenset(w for w in words if w.isdigit() or w in rare or (w in own and len(w) >= 5))
+            self.telling[item, -1] = told
             for k in anchors:
                 names[f" {words[k]} ".encode()].append((item, k, 0, len(words)))
             for before, after in zip([-1, *anchors], [*anchors, len(words)], strict=True):
                 low = before + 1
                 if after - low < LEAST_SPAN:
                     continue
-                # what tells such a stretch from one of the same pattern: figures, and words of this item that many documents hold
-                self.telling[item, low] = frozenset(w for w in words[low:after] if w.isdigit() or (holders[w] <= RARE_ITEMS and len(w) >= 5))
+                self.telling[item, low] = told.intersection(words[low:after])
                 for k in range(low, after - WINDOW + 1):
                     windows[f" {' '.join(words[k : k + WINDOW])} ".encode()].append((item, k, low, after))
         # apart, as the shortest test string bounds the shifts
@@ -233,7 +236,7 @@ class ItemBlock:
         return found
 
     def leaks(self, docs: list[list[str]]) -> list[tuple[int, int]]:
-        """(place in ``docs``, item) of every document that holds a passage of an item."""
+        """(place in ``docs``, item id) of every document that holds a passage of an item."""
         texts = [f" {' '.join(words)} ".encode() for words in docs]
         starts, total = [], 0
         for t in texts:
@@ -263,17 +266,18 @@ class ItemBlock:
                 passed = at - starts[d]
                 for item, q, low, high in places:
                     offsets[item, low, high].add(p - q)
-            last = None
+            held: set[int] = set()
             for (item, start, stop), seen in sorted(offsets.items()):
-                if item != last and self._holds(item, start, stop, sorted(seen), words):
-                    found.append((d, item))
-                    last = item
+                if self.ids[item] not in held and self._holds(item, start, stop, sorted(seen), words):
+                    held.add(self.ids[item])
+            found += [(d, i) for i in sorted(held)]
         return found
 
     def _holds(self, item: int, start: int, stop: int, offsets: list[int], words: list[str]) -> bool:
         """Whether a passage of the item lies on one of the diagonals in a document's ``words``."""
-        own_words, telling = self.items[item][start:stop], self.telling.get((item, start))
+        own_words = self.items[item][start:stop]
         whole = stop - start == len(self.items[item]) and any(w in self.rare for w in own_words)
+        telling = self.telling[item, -1 if whole else start]
         done = None
         for o in offsets:
             # the band around one diagonal covers its neighbours
@@ -289,7 +293,9 @@ class ItemBlock:
                 # without a distinctive word it lies in a stretch that has its own windows
                 if kept and is_passage((score, n, kept, replaced, span), True):
                     return True
-                continue
+                # one name alone: the figures and the item's other words must bear it
+                if kept != 1 or replaced or span < LEAST_SPAN:
+                    continue
             if not may_hold(own_words, words[low:high], telling):
                 continue
             score, n, kept, replaced, span = align(own_words, words[low:high], o - low, telling, self.memo)
@@ -314,14 +320,31 @@ def folded_words(text: Column) -> Column:
     return F.split(F.replace(F.translate(F.lower(text), *_folds()), F.lit("ß"), F.lit("ss")), r"[^a-z0-9\p{L}\p{N}]+")
 
 
-def document_counts(documents: DataFrame, words: list[str], text: str) -> dict[str, int]:
-    """In how many of all documents each of ``words`` occurs."""
-    if not words:
-        return {}
-    wanted = F.array(*map(F.lit, words))
-    each = documents.select(F.explode(F.array_intersect(folded_words(F.col(text)), wanted)).alias("word"))
-    # at most one row per wanted word
-    return {r[0]: r[1] for r in each.groupBy("word").agg(F.count("*")).collect()}
+def distinct_words(texts: DataFrame, text: str) -> DataFrame:
+    """``word``: each word of each text once, by ``words_of``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [w for t in batch.column(0).to_pylist() for w in sorted(set(words_of(t)))]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["word"])
+
+    return texts.select(F.col(text)).mapInArrow(run, "word string")
+
+
+def telling_words(documents: DataFrame, items: DataFrame, *, text: str = "text", item_text: str = "text") -> DataFrame:
+    """``word``, ``is_rare``, ``is_own`` of the words of items that few items hold, counted over all items and all documents.
+
+    ``is_rare``: distinctive, as ``RARE_SHARE`` and ``RARE_ITEM_SHARE`` say; ``is_own``: in at most ``RARE_ITEMS`` items.
+    """
+    n_items, n_docs = items.count(), documents.count()
+    few = max(RARE_ITEMS, RARE_ITEM_SHARE * n_items) if n_items > RARE_ITEMS else 1
+    held = distinct_words(items, item_text).groupBy("word").agg(F.count("*").alias("n_items")).filter(F.col("n_items") <= max(few, RARE_ITEMS))
+    candidate = (F.col("n_items") <= few) & (F.length("word") >= 5) & ~F.col("word").rlike(r"^\p{Nd}+$")
+    held = small_side(held.select("word", candidate.alias("is_candidate"), (F.col("n_items") <= RARE_ITEMS).alias("is_own")))
+    each = documents.select(F.explode(F.array_distinct(folded_words(F.col(text)))).alias("word"))
+    counts = each.join(held.filter("is_candidate").select("word"), "word").groupBy("word").agg(F.count("*").alias("n_docs"))
+    is_rare = F.col("is_candidate") & (F.coalesce("n_docs", F.lit(0)) <= max(RARE_DOCS, RARE_SHARE * n_docs))
+    return checkpointed(held.join(counts, "word", "left").select("word", is_rare.alias("is_rare"), "is_own").filter("is_rare or is_own"))
 
 
 def leaked_items(
@@ -329,34 +352,33 @@ def leaked_items(
 ) -> DataFrame:
     """``doc_id`` and ``item_id`` of every document that holds a passage of about 20 words or more of an item.
 
-    One pass over whole documents per ``ITEM_BLOCK`` items; documents are not shuffled. A passage is confirmed if enough
-    words agree in order, but for slips, and distinctive words (names) agree where the item has them. Defined cases: null and
-    empty texts hold nothing; an item of fewer words than a passage is never found; several passages of one item in a
-    document count once; repeated documents are reported each; empty tables give no rows; other columns are ignored.
+    One pass over whole documents per ``ITEM_BLOCK`` items, and one to count words; documents are not shuffled. A passage is
+    confirmed if enough words agree in order, but for slips, and distinctive words (names) agree where the item has them; with
+    one name alone the figures and the words of hardly any other item must agree.
+
+    Defined cases: null and empty texts hold nothing; an item of fewer words than a passage is never found; several texts
+    under one item id are searched each (more than ``ITEM_BLOCK`` under one id may raise ``TooLarge``); several passages of one item in a document count once; items without an id are
+    none; repeated documents are reported each; empty tables give no rows; other columns are ignored.
     """
-    n_items = items.filter(F.col(item_id).isNotNull() & F.col(item_text).isNotNull()).count()
-    blocks = max(1, -(-n_items // ITEM_BLOCK))
-    n_docs = documents.count()
+    wanted = items.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).filter("item_id is not null and text is not null").distinct()
+    blocks = max(1, -(-wanted.count() // ITEM_BLOCK))
+    told = telling_words(documents, wanted, text=text)
     held = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter("text is not null")
     out = None
     for b in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64(item_id), F.lit(blocks)) == b).select(item_id, item_text).filter(F.col(item_text).isNotNull())
+        part = wanted.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
         # hashed blocks are about equal; this bound is far outside of chance
-        listed = [(r[0], words_of(r[1])) for r in collect_bounded(part, 2 * ITEM_BLOCK + 1_000) if r[0] is not None]
-        vocabulary = Counter(w for _, words in listed for w in set(words) if len(w) >= 5 and not w.isdigit())
-        few = max(RARE_ITEMS, RARE_ITEM_SHARE * len(listed)) if len(listed) > RARE_ITEMS else 1
-        candidates = sorted(w for w, n in vocabulary.items() if n <= few)
-        counts = document_counts(documents, candidates, text)
-        most = max(RARE_DOCS, RARE_SHARE * n_docs)
-        rare = frozenset(w for w in candidates if counts.get(w, 0) <= most)
-        found = held.mapInArrow(_searcher(listed, rare), "doc_id bigint, item_id bigint")
+        listed = [(r[0], words_of(r[1])) for r in collect_bounded(part, 2 * ITEM_BLOCK + 1_000)]
+        # at most the words of the block
+        words = told.join(distinct_words(part, "text").distinct(), "word", "left_semi").collect()
+        found = held.mapInArrow(_searcher(listed, frozenset(r[0] for r in words if r[1]), frozenset(r[0] for r in words if r[2])), "doc_id bigint, item_id bigint")
         out = found if out is None else out.unionAll(found)
     return out.select(F.col("doc_id").alias(doc_id), F.col("item_id").alias(item_id))
 
 
-def _searcher(items: list[tuple[int, list[str]]], rare: frozenset):
+def _searcher(items: list[tuple[int, list[str]]], rare: frozenset, own: frozenset):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = ItemBlock(items, rare)
+        block = ItemBlock(items, rare, own)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             # a few hundred texts at a time bound the buffer

@@ -61,10 +61,30 @@ def test_long_text_and_blocks(spark, monkeypatch):
         for j, old in enumerate(("griulmistax", "lortavporel", "yantoron", "emfraite")):
             t = t.replace(old, n + names[(k + j + 1) % 5])
         items.append((k, t))
-    # sentences of one pattern are told apart in one block; small blocks find at least what is there
-    assert {(1, 3), (1, 9)} <= set(leaks(spark, [(1, text + " " + items[3][1])], [(9, ITEM), *items]))
+    # sentences of one pattern are told apart, in whatever blocks the items are read
+    docs = [(1, text + " " + items[3][1])]
+    assert leaks(spark, docs, [(9, ITEM), *items]) == [(1, 3), (1, 9)]
     monkeypatch.setattr(m, "ITEM_BLOCK", 100)
-    assert leaks(spark, [(1, text + " " + items[3][1])], [(9, ITEM), *items]) == [(1, 3), (1, 9)]
+    assert leaks(spark, docs, [(9, ITEM), *items]) == [(1, 3), (1, 9)]
+
+
+def test_parts_of_a_long_item_and_texts_under_one_id(spark):
+    rng = random.Random(4)
+    usual = [f"{rng.choice('bdfgkl')}{a}{b}" for a in ("ara", "elo", "iti", "oma", "unu") for b in ("den", "sor", "lig", "tam")]
+    # 60 words, two of them in no other item or document
+    own = [usual[(k * 7) % 20] + "abcdefghij"[k % 10] for k in range(60)]
+    own[9], own[50] = "griulmistax", "lortavporel"
+    pad = " ".join(FILLER)
+    # many documents hold the other words, in another order
+    usual_docs = [(100 + k, " ".join(rng.sample([w for w in own if len(w) < 11], 50))) for k in range(25)]
+    short = "the emfraite lens drives the yantoron nozzle by hand at 218 turns while the tornelax pump is kept from running"
+    docs = [(1, f"{pad} {' '.join(own[20:45])} {pad}"), (2, f"{pad} {' '.join(own[15:60])} {pad}"), (3, f"{pad} {short} {pad}"), (4, f"{pad} {' '.join(own[20:33])} {pad}")]
+    assert len(short.split()) == 20
+    # one name within 25 words, and a word exchanged: the other words of the item bear it
+    near = own[38:60]
+    near[4] = "house"
+    docs.append((5, f"{pad} {' '.join(near)} {pad}"))
+    assert leaks(spark, docs + usual_docs, [(1, " ".join(own)), (2, short), (2, ITEM), (2, ITEM), (2, "too short")]) == [(1, 1), (2, 1), (3, 2), (5, 1)]
 
 
 def test_short_passages_with_changes(spark):
