@@ -34,6 +34,8 @@ WINDOW = 5
 LEAST_SPAN, LEAST_WORDS = 18, 15
 #: The score is at least this part of the equal words; a passage of a lower score than ``LONG_SCORE`` bears fewer changes.
 LEAST_DENSITY, SHORT_DENSITY, LONG_SCORE = 0.55, 0.75, 20.5
+#: Beside one distinctive word, a passage holds so many figures and words of hardly any other item, that word among them.
+LEAST_TOLD = 4
 #: Equal words on the diagonal of a test string's occurrence before an alignment is tried; a passage has a stretch without gaps around it.
 LEAST_ON_DIAGONAL = 5
 
@@ -287,20 +289,21 @@ class ItemBlock:
             low, high = max(0, o - 12), o + len(own_words) + 16
             if sum(map(eq, own_words[max(0, -o) :], words[max(0, o) : high])) < LEAST_ON_DIAGONAL:
                 continue
-            done = o - start
+            done, least = o - start, 0
             if whole:
                 score, n, kept, replaced, span = align(own_words, words[low:high], o - low, self.rare, self.memo)
                 # without a distinctive word it lies in a stretch that has its own windows
                 if kept and is_passage((score, n, kept, replaced, span), True):
                     return True
-                # one name alone: the figures and the item's other words must bear it
+                # one name alone may stand in a sentence of the same pattern: several figures and own words of the item must bear it
                 if kept != 1 or replaced or span < LEAST_SPAN:
                     continue
+                least = LEAST_TOLD
             if not may_hold(own_words, words[low:high], telling):
                 continue
             score, n, kept, replaced, span = align(own_words, words[low:high], o - low, telling, self.memo)
             # stock wording goes on with other names and figures: hardly any of these may differ
-            if replaced * 6 <= kept and is_passage((score, n, kept, replaced, span), False):
+            if kept >= least and replaced * 6 <= kept and is_passage((score, n, kept, replaced, span), False):
                 return True
         return False
 
@@ -354,7 +357,7 @@ def leaked_items(
 
     One pass over whole documents per ``ITEM_BLOCK`` items, and one to count words; documents are not shuffled. A passage is
     confirmed if enough words agree in order, but for slips, and distinctive words (names) agree where the item has them; with
-    one name alone the figures and the words of hardly any other item must agree.
+    one name alone several figures and words of hardly any other item must agree as well.
 
     Defined cases: null and empty texts hold nothing; an item of fewer words than a passage is never found; several texts
     under one item id are searched each (more than ``ITEM_BLOCK`` under one id may raise ``TooLarge``); several passages of one item in a document count once; items without an id are
