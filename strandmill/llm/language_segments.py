@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandmill.llm.leak_search import repaired
@@ -22,8 +22,10 @@ from strandmill.llm.leak_search import repaired
 DIMENSIONS = 2_048
 #: Places in the alphabet: blank, unknown letter, and the most frequent letters of the sample.
 ALPHABET = 64
-#: The classifier is fitted on at most so many labelled documents of a language, drawn by a hash of the id.
-SAMPLE_PER_LANGUAGE = 300
+#: The classifier is fitted on at most so many labelled documents of a language, drawn by a hash of the id, of at most so many letters each.
+SAMPLE_PER_LANGUAGE, MOST_CHARS = 300, 50_000
+#: Without a list of languages, those of the labels: each with this part of the labelled documents or more, and so many at most.
+LEAST_SHARE, MOST_LANGUAGES = 0.01, 64
 #: A sentence has at least so many words and letters, and letters make up this part of it; formulas have fewer.
 LEAST_WORDS, LEAST_LETTERS, LEAST_DENSITY = 4, 18, 0.6
 #: The best language must lead the next by this part of its cosine.
@@ -194,20 +196,33 @@ def segments_of(texts: Sequence[str | None], profiles: Profiles) -> list[list[tu
     ]
 
 
-def fit_on_labels(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Profiles:
-    """Profiles fitted on at most ``per_language`` labelled documents of each language; nothing else is drawn from the table."""
-    labelled = documents.select(F.col(doc_id).alias("id"), canonical_label(F.col(lang)).alias("lang"))
-    drawn: dict = {}
-    for language in NAMES:
-        if language != "und":
-            # ids only: each task sends its smallest hashes to the driver
-            ids = labelled.filter((F.col("lang") == language) & F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(per_language)
-            drawn |= {r[0]: language for r in ids.select("id").collect()}
+def labelled_sample(
+    documents: DataFrame, languages: Sequence[str] | None, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE
+) -> DataFrame:
+    """``id``, ``lang``, ``text`` of at most ``per_language`` documents per language, those of least hash; none of over ``MOST_CHARS`` letters."""
+    labelled = documents.select(F.col(doc_id).alias("id"), canonical_label(F.col(lang)).alias("lang")).filter("id is not null and lang is not null and lang != 'und'")
+    if languages is None:
+        counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+        # one row per label; Spark keeps the most frequent of each task only
+        counts = counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1)))).filter(F.col("share") >= LEAST_SHARE).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+        labelled = labelled.join(F.broadcast(counts.select("lang")), "lang")
+    else:
+        labelled = labelled.filter(F.col("lang").isin(list(languages)))
+    # ids only: each task keeps its smallest hashes before they are shuffled
+    ranked = labelled.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))).filter(F.col("r") <= per_language)
+    chosen = ranked.groupBy("id").agg(F.min("lang").alias("lang"))
+    texts = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.length("text") <= MOST_CHARS)
+    return texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.min("lang").alias("lang"), F.min("text").alias("text"))
+
+
+def fit_on_labels(
+    documents: DataFrame, languages: Sequence[str] | None = None, *, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE
+) -> Profiles:
+    """Profiles of ``languages``, or of those that name ``LEAST_SHARE`` or more of the labelled documents, fitted on ``labelled_sample``."""
     samples: dict[str, list[str]] = {}
-    if drawn:
-        found = documents.filter(F.col(doc_id).isin(list(drawn)) & F.col(text).isNotNull()).groupBy(doc_id).agg(F.min(text)).collect()
-        for key, body in sorted(found, key=lambda r: r[0]):
-            samples.setdefault(drawn[key], []).append(body)
+    # bounded by languages, documents and letters
+    for r in sorted(labelled_sample(documents, languages, doc_id=doc_id, text=text, lang=lang, per_language=per_language).collect(), key=lambda r: r["id"]):
+        samples.setdefault(r["lang"], []).append(r["text"])
     return fit(samples or {"en": [""]})
 
 

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from strandmill.llm.language_segments import canonical_label, fit, fit_on_labels, language_segments, mislabelled, segments_of
+from strandmill.llm.language_segments import canonical_label, fit, fit_on_labels, labelled_sample, language_segments, mislabelled, segments_of
 
 WORDS = {
     "en": "the of and to in is that for it with as was on are by this be from or which have an they one had word not all were".split(),
@@ -52,3 +52,19 @@ def test_labels_and_found(spark, profiles):
     assert df.select(canonical_label(df.lang)).distinct().count() == 4
     assert set(fit_on_labels(df, per_language=2).languages) == {"en", "de"}
     assert fit_on_labels(df.limit(0)).languages == ("en",)
+    assert set(fit_on_labels(df, ["en"]).languages) == {"en"}
+    # too long for the sample
+    long = spark.createDataFrame([(1, "the of and to " * 20_000, "en"), (2, sentence(rng, "de"), "de")], "doc_id bigint, text string, lang string")
+    assert fit_on_labels(long).languages == ("de",)
+
+
+def test_accuracy_on_held_out_documents(spark, data):
+    """Fitted on 12 documents a language; of all others the label is nearly always the language found (a part of the labels is wrong)."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    languages = ["en", "de", "fr", "es", "pt"]
+    drawn = labelled_sample(documents, languages, per_language=12)
+    assert drawn.count() <= 60
+    held_out = documents.join(drawn.select(drawn["id"].alias("doc_id")), "doc_id", "left_anti")
+    found = language_segments(held_out, fit_on_labels(documents, languages, per_language=12)).filter("seg_no = 1 and n_segments = 1")
+    known = [(r.label, r.doc_lang) for r in found.filter("label is not null and doc_lang != 'und'").collect() if r.label in languages]
+    assert len(known) > 300 and sum(a == b for a, b in known) >= 0.93 * len(known)
