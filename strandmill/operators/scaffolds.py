@@ -68,12 +68,12 @@ def min_variance_cut(df: DataFrame, by: str, value: str, *, digits: int = 4) ->
     return best.select(by, F.col("b.v").alias("cut"), F.col("b.i").alias("n_low"), (F.col("b.all_n") - F.col("b.i")).alias("n_high"))
 
 
-def genotypes(counts: DataFrame, *, min_depth: int = 5, low: float = 0.2, high: float = 0.8) -> DataFrame:
-    """Genotype of each place from its base counts (``name``, ``place``, ``base``, ``n``): the two most frequent bases, share of the second, and hom, het or low_depth."""
-    order = Window.partitionBy("name", "place").orderBy(F.desc("n"), "base")
+def genotypes(counts: DataFrame, *by: str, min_depth: int = 5, low: float = 0.2, high: float = 0.8) -> DataFrame:
+    """Genotype of each place of a group from its base counts (``by``, ``place``, ``base``, ``n``): the two most frequent bases, share of the second, and hom, het or low_depth."""
+    order = Window.partitionBy(*by, "place").orderBy(F.desc("n"), "base")
     ranked = counts.withColumn("r", F.row_number().over(order))
     pick = lambda k, c: F.max(F.when(F.col("r") == k, F.col(c)))
-    per = ranked.groupBy("name", "place").agg(F.sum("n").alias("depth"), pick(1, "base").alias("major"), pick(2, "base").alias("minor"), pick(2, "n").alias("n2"))
+    per = ranked.groupBy(*by, "place").agg(F.sum("n").alias("depth"), pick(1, "base").alias("major"), pick(2, "base").alias("minor"), pick(2, "n").alias("n2"))
     share = F.coalesce(F.col("n2"), F.lit(0)) / F.col("depth")
     call = F.when(F.col("depth") < min_depth, "low_depth").when(share.between(low, high), "het").otherwise("hom")
-    return per.select("name", "place", "depth", "major", "minor", F.round(share, 4).alias("minor_share"), call.alias("genotype"))
+    return per.select(*by, "place", "depth", "major", "minor", F.round(share, 4).alias("minor_share"), call.alias("genotype"))

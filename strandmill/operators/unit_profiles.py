@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandmill.functions.bounded import collect_bounded
+from strandmill.functions.keyed import small_side
 from strandmill.functions.tails import binom_tail
 from strandmill.operators.nested_records import in_order, parse_records
 
@@ -93,40 +93,42 @@ def hamming(a: Column, b: Column) -> Column:
     return F.when(F.length(a) == F.length(b), F.when(a == b, 0).otherwise(count))
 
 
-def novel_units(units: DataFrame, reference: DataFrame, *, most: int = 200) -> DataFrame:
-    """Sequences of unit length that no reference unit has: how often, in how many haplotypes, and the nearest reference unit.
+def novel_units(units: DataFrame, reference: DataFrame) -> DataFrame:
+    """Sequences of unit length (60 bases) that no reference unit has: how often, in how many haplotypes, and the nearest reference unit.
 
-    The reference is a small list (at most ``most``); each distinct sequence is compared with it once.
+    Each distinct sequence is compared with the whole reference, a list of units that Spark broadcasts if it is small enough.
     """
-    known = sorted((r[0], r[1]) for r in collect_bounded(reference.select("seq", "motif_name").filter("seq is not null"), most))
-    if not known:
-        raise ValueError("the reference is empty")
-    held = units.filter((F.length("sequence") == UNIT) & ~F.col("sequence").isin([s for s, _ in known]))
-    seen = held.groupBy("sequence").agg(F.count("*").alias("occurrences"), F.countDistinct("file_id", "hap_no").alias("haplotypes"))
-    listed = F.array(*(F.struct(F.lit(s).alias("seq"), F.lit(n).alias("name")) for s, n in known if len(s) == UNIT))
-    near = F.array_min(F.transform(listed, lambda r: F.struct(hamming(F.col("sequence"), r["seq"]).alias("d"), r["name"].alias("name"))))
-    return seen.withColumn("near", near).select("sequence", "occurrences", "haplotypes", F.col("near.name").alias("closest"), F.col("near.d").alias("distance"))
+    known = reference.filter(F.length("seq") == UNIT).select(F.col("seq").alias("ref"), "motif_name").distinct()
+    seen = units.filter(F.length("sequence") == UNIT).groupBy("sequence").agg(F.count("*").alias("occurrences"), F.countDistinct("file_id", "hap_no").alias("haplotypes"))
+    novel = seen.join(reference.select(F.col("seq").alias("sequence")).distinct(), "sequence", "left_anti")
+    # a stated list against all distinct sequences
+    pairs = novel.join(small_side(known), F.length("sequence") == F.length("ref"))
+    near = F.min(F.struct(hamming(F.col("sequence"), F.col("ref")).alias("d"), F.col("motif_name").alias("name")))
+    best = pairs.groupBy("sequence", "occurrences", "haplotypes").agg(near.alias("near"))
+    return best.select("sequence", "occurrences", "haplotypes", F.col("near.name").alias("closest"), F.col("near.d").alias("distance"))
 
 
-def base_counts(units: DataFrame) -> DataFrame:
-    """Counts of the bases at each place of the units of one name; equal sequences are counted before they are taken apart."""
-    distinct = units.filter((F.length("sequence") == UNIT) & F.col("name").isNotNull()).groupBy("name", "sequence").agg(F.count("*").alias("w"))
-    each = distinct.select("name", "w", F.posexplode(F.split("sequence", "")).alias("at", "base")).filter("base != ''")
-    return each.groupBy("name", (F.col("at") + 1).alias("place"), "base").agg(F.sum("w").alias("n"))
+def base_counts(units: DataFrame, *by: str) -> DataFrame:
+    """Counts of the bases at each place of a group's units of 60 bases; equal sequences are counted before they are taken apart."""
+    distinct = units.filter((F.length("sequence") == UNIT) & F.col("name").isNotNull()).groupBy(*by, "sequence").agg(F.count("*").alias("w"))
+    each = distinct.select(*by, "w", F.posexplode(F.split("sequence", "")).alias("at", "base")).filter("base != ''")
+    return each.groupBy(*by, (F.col("at") + 1).alias("place"), "base").agg(F.sum("w").alias("n"))
 
 
-def plurality_consensus(counts: DataFrame, *, min_depth: int = 3) -> DataFrame:
+def plurality_consensus(counts: DataFrame, *by: str, min_depth: int = 3) -> DataFrame:
     """Most frequent base per place (ties in the order of the letters), its share and the depth."""
-    best = counts.groupBy("name", "place").agg(F.sum("n").alias("depth"), F.min_by(F.struct("base", "n"), F.struct(-F.col("n"), "base")).alias("b"))
-    return best.filter(F.col("depth") >= min_depth).select("name", "place", F.col("b.base").alias("base"), "depth", F.round(F.col("b.n") / F.col("depth"), 4).alias("share"))
-
-
-def phasing_places(counts: DataFrame, *, min_depth: int = 5, low: float = 0.15, high: float = 0.85) -> DataFrame:
-    """Places whose second base has a share from ``low`` to ``high``."""
-    order = Window.partitionBy("name", "place").orderBy(F.desc("n"), "base")
-    ranked = counts.withColumn("r", F.row_number().over(order)).withColumn("depth", F.sum("n").over(Window.partitionBy("name", "place")))
-    minor = F.col("n") / F.col("depth")
-    return ranked.filter((F.col("r") == 2) & (F.col("depth") >= min_depth) & minor.between(low, high)).select("name", "place", F.col("base").alias("minor_base"), "depth", F.round(minor, 4).alias("minor_share"))
+    best = counts.groupBy(*by, "place").agg(F.sum("n").alias("depth"), F.min_by(F.struct("base", "n"), F.struct(-F.col("n"), "base")).alias("b"))
+    return best.filter(F.col("depth") >= min_depth).select(*by, "place", F.col("b.base").alias("base"), "depth", F.round(F.col("b.n") / F.col("depth"), 4).alias("share"))
+
+
+def phasing_places(counts: DataFrame, *by: str, min_depth: int = 5, low: float = 0.15, high: float = 0.85) -> DataFrame:
+    """Places whose second base has a share from ``low`` to ``high``, with both bases."""
+    order = Window.partitionBy(*by, "place").orderBy(F.desc("n"), "base")
+    ranked = counts.withColumn("r", F.row_number().over(order))
+    pick = lambda k, c: F.max(F.when(F.col("r") == k, F.col(c)))
+    per = ranked.groupBy(*by, "place").agg(F.sum("n").alias("depth"), pick(1, "base").alias("major_base"), pick(2, "base").alias("minor_base"), pick(2, "n").alias("n2"))
+    minor = F.col("n2") / F.col("depth")
+    return per.filter((F.col("depth") >= min_depth) & minor.between(low, high)).select(*by, "place", "major_base", "minor_base", "depth", F.round(minor, 4).alias("minor_share"))
 
 
 def homopolymers(units: DataFrame, *, min_len: int = 3) -> DataFrame:

@@ -5,52 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.functions import cigar, sequences
-from strandmill.functions.bounded import collect_bounded
 from strandmill.operators import cohort, decoding, lengths, nested_records, scaffolds, unit_profiles
 from strandmill.plans.length_queries import _PEAKS, _READS
-from strandmill.plans.unit_queries import _COUNTS, _UNITS
+from strandmill.plans.unit_queries import _COUNTS, COPIES
 from strandmill.sources import load_table
 from strandmill.streaming import read_counts
 
 
-def read_copies_flank(spark: SparkSession, folder: str) -> DataFrame:
-    """Repeat counts measured on sequences: each read is written out as anchor, units, anchor (haplotype 2 on the other strand) and measured again."""
-    seqs = {r[0]: r[1] for r in collect_bounded(load_table(spark, folder, "motif_ref").select("motif_name", "seq"), 1_000)}
-    left, unit, right = seqs["p5"], seqs["V"], seqs["s6"]
-    reads = lengths.first_deliveries(load_table(spark, folder, "read_copies")).filter("copies is not null")
-    seq = F.concat(F.lit(left), F.expr(f"repeat('{unit}', copies)"), F.lit(right))
-    seq = F.when(F.col("hp") == "2", sequences.reverse_complement(seq)).otherwise(seq)
-    return reads.select("sample_id", "read_id", sequences.anchored_copies(seq, left, right).alias("copies"))
-
-
-def _aligned(spark: SparkSession, folder: str) -> DataFrame:
-    """Haplotypes as alignments to a reference of whole units."""
-    units = unit_profiles.decoded_units(load_table(spark, folder, "analyzer_json"))
-    ops = F.array_sort(F.collect_list(F.struct("unit", "net")))
-    packed = units.groupBy("file_id", "hap_no").agg(ops.alias("u"))
-    op = lambda o, n: F.struct(F.lit(o).alias("op"), n.cast("int").alias("len"))
-    parts = lambda x: F.filter(
-        F.array(op(0, F.lit(60) - F.greatest(-x["net"], F.lit(0))), op(1, F.greatest(x["net"], F.lit(0))), op(2, F.greatest(-x["net"], F.lit(0)))), lambda c: c["len"] > 0
-    )
-    return packed.select("file_id", "hap_no", F.flatten(F.transform("u", parts)).alias("cigar"))
-
-
-def cigar_summary(spark: SparkSession, folder: str) -> DataFrame:
-    c = F.col("cigar")
-    return _aligned(spark, folder).select(
-        "file_id", "hap_no", cigar.reference_length(c).alias("ref_len"), cigar.query_length(c).alias("query_len"), cigar.inserted(c).alias("inserted"), cigar.deleted(c).alias("deleted")
-    )
-
-
-def cigar_indels(spark: SparkSession, folder: str) -> DataFrame:
-    """Insertions and deletions with the unit in which they lie."""
-    each = _aligned(spark, folder).select("file_id", "hap_no", F.inline(cigar.blocks(F.col("cigar"), F.lit(0))))
-    # an insertion lies behind the unit's last base, a deletion takes its last bases
-    unit = F.when(F.col("op") == 1, F.floor((F.col("ref_at") - 1) / 60) + 1).otherwise(F.floor(F.col("ref_at") / 60) + 1)
-    return each.filter("op in (1, 2)").select("file_id", "hap_no", unit.cast("bigint").alias("unit"), F.when(F.col("op") == 1, F.col("len")).otherwise(-F.col("len")).alias("net"))
-
-
 def motif_decode(spark: SparkSession, folder: str) -> DataFrame:
     return decoding.decode(nested_records.nested_tables(load_table(spark, folder, "analyzer_json")).haplotypes, load_table(spark, folder, "motif_ref"))
 
@@ -81,7 +42,8 @@ def minvar_split(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snp_genotype(spark: SparkSession, folder: str) -> DataFrame:
-    return scaffolds.genotypes(unit_profiles.base_counts(unit_profiles.decoded_units(load_table(spark, folder, "analyzer_json"))))
+    """Places of the copies of a unit within a haplotype."""
+    return scaffolds.genotypes(unit_profiles.base_counts(unit_profiles.decoded_units(load_table(spark, folder, "analyzer_json")), *COPIES), *COPIES)
 
 
 def streaming_histogram(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,7 +53,7 @@ def streaming_histogram(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        read_copies_flank, cigar_summary, cigar_indels, motif_decode, read_concentration, scaffold_for_lengths, length_congruence, minvar_split,
+        motif_decode, read_concentration, scaffold_for_lengths, length_congruence, minvar_split,
         snp_genotype, streaming_histogram,
     )
 }
@@ -99,10 +61,6 @@ QUERIES = {
 _STATED = "stated AS (SELECT row_id, regexp_replace(coalesce(sample, ''), '_minimap2.*$', '') AS sample_id, a1, a2 FROM cohort_sheet)"
 
 ORACLE = {
-    "read_copies_flank": f"WITH {_READS} SELECT sample_id, read_id, copies FROM reads WHERE copies IS NOT NULL",
-    "cigar_summary": f"""WITH {_UNITS} SELECT file_id, hap_no, (count(*) * 60)::BIGINT AS ref_len, sum(60 + net)::BIGINT AS query_len,
-  sum(greatest(net, 0))::BIGINT AS inserted, sum(greatest(-net, 0))::BIGINT AS deleted FROM units GROUP BY file_id, hap_no""",
-    "cigar_indels": f"WITH {_UNITS} SELECT file_id, hap_no, unit, net FROM units WHERE net <> 0",
     "read_concentration": f"""WITH {_READS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY n DESC, copies) AS r FROM hist)
 SELECT sample_id, sum(n)::BIGINT AS n_reads, sum(n) FILTER (r <= 2)::BIGINT AS n_top2, round(sum(n) FILTER (r <= 2) / sum(n), 4) AS share FROM ranked GROUP BY sample_id""",
     "scaffold_for_lengths": f"""WITH {_READS}, {_STATED},
@@ -120,7 +78,8 @@ s AS (SELECT *, sum(n) OVER w AS i, sum(n * round(v * 10000)::BIGINT) OVER w AS
   FROM c WINDOW w AS (PARTITION BY repeat_index ORDER BY v)),
 g AS (SELECT *, round(s::DOUBLE * s::DOUBLE / i + (ts - s)::DOUBLE * (ts - s)::DOUBLE / (tn - i), 3) AS gain FROM s WHERE i < tn)
 SELECT repeat_index, v AS cut, i::BIGINT AS n_low, (tn - i)::BIGINT AS n_high FROM (SELECT *, row_number() OVER (PARTITION BY repeat_index ORDER BY gain DESC, v) AS r FROM g) WHERE r = 1""",
-    "snp_genotype": f"""WITH {_COUNTS}, p AS (SELECT name, place, any_value(depth)::BIGINT AS depth, max(base) FILTER (r = 1) AS major, max(base) FILTER (r = 2) AS minor, coalesce(max(n) FILTER (r = 2), 0) AS n2 FROM ranked GROUP BY 1, 2)
-SELECT name, place, depth, major, minor, round(n2 / depth, 4) AS minor_share, CASE WHEN depth < 5 THEN 'low_depth' WHEN n2 / depth BETWEEN 0.2 AND 0.8 THEN 'het' ELSE 'hom' END AS genotype FROM p""",
+    "snp_genotype": f"""WITH {_COUNTS}, p AS (SELECT file_id, hap_no, name, place, any_value(depth)::BIGINT AS depth, max(base) FILTER (r = 1) AS major, max(base) FILTER (r = 2) AS minor,
+  coalesce(max(n) FILTER (r = 2), 0) AS n2 FROM ranked GROUP BY ALL)
+SELECT file_id, hap_no, name, place, depth, major, minor, round(n2 / depth, 4) AS minor_share, CASE WHEN depth < 5 THEN 'low_depth' WHEN n2 / depth BETWEEN 0.2 AND 0.8 THEN 'het' ELSE 'hom' END AS genotype FROM p""",
     "streaming_histogram": f"WITH {_READS} SELECT * FROM hist",
 }

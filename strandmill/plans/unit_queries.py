@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandmill.operators import alignments
 from strandmill.operators import unit_profiles as u
 from strandmill.sources import load_table
 
@@ -33,7 +34,8 @@ def loo_null_fraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def positional_decision(spark: SparkSession, folder: str) -> DataFrame:
-    return u.positional_test(u.unit_profile(_units(spark, folder), "hap_rank"), "hap_rank")
+    """Per run and haplotype rank, over the units of all haplotypes of that run."""
+    return u.positional_test(u.unit_profile(_units(spark, folder), "run", "hap_rank"), "run", "hap_rank")
 
 
 def net_indel_per_unit(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,12 +54,32 @@ def novel_motifs(spark: SparkSession, folder: str) -> DataFrame:
     return u.novel_units(_units(spark, folder), load_table(spark, folder, "motif_ref"))
 
 
+#: Copies of one unit within one haplotype.
+COPIES = ("file_id", "hap_no", "name")
+
+
 def consensus_plurality(spark: SparkSession, folder: str) -> DataFrame:
-    return u.plurality_consensus(u.base_counts(_units(spark, folder)))
+    return u.plurality_consensus(u.base_counts(_units(spark, folder), *COPIES), *COPIES)
 
 
 def phasing_snps(spark: SparkSession, folder: str) -> DataFrame:
-    return u.phasing_places(u.base_counts(_units(spark, folder)), low=0.001)
+    return u.phasing_places(u.base_counts(_units(spark, folder), *COPIES), *COPIES)
+
+
+def _phased(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    units = _units(spark, folder).filter("length(sequence) = 60 and name is not null")
+    places = u.phasing_places(u.base_counts(units, *COPIES), *COPIES)
+    return units, places, alignments.phase_reads(units, places, *COPIES)
+
+
+def phased_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The copies of a unit in a haplotype, in two phases by the places at which they differ."""
+    return _phased(spark, folder)[2]
+
+
+def phasing_concordance(spark: SparkSession, folder: str) -> DataFrame:
+    units, places, phased = _phased(spark, folder)
+    return alignments.phase_concordance(units, places, phased, *COPIES, least=2)
 
 
 def homopolymer_runs(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,7 +90,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         decoded_units, unit_profile, longest_block, focality, loo_null_fraction, positional_decision, net_indel_per_unit, frameshift_variants,
-        frameshift_focal, novel_motifs, consensus_plurality, phasing_snps, homopolymer_runs,
+        frameshift_focal, novel_motifs, consensus_plurality, phasing_snps, phased_copies, phasing_concordance, homopolymer_runs,
     )
 }
 
@@ -89,9 +111,19 @@ units AS (SELECT p.file_id, run, hap_no, hap_rank, row_number() OVER (PARTITION
 _PROFILE = f"""{_UNITS},
 profile AS (SELECT run, unit, count(*) AS tot, count(*) FILTER (net <> 0) AS n_mut, round(count(*) FILTER (net <> 0) / count(*), 4) AS frac FROM units GROUP BY run, unit)"""
 _COUNTS = f"""{_UNITS},
-letters AS (SELECT name, unnest(range(1, 61)) AS place, unnest(string_split(sequence, '')) AS base FROM units WHERE length(sequence) = 60 AND name IS NOT NULL),
-counts AS (SELECT name, place, base, count(*) AS n FROM letters GROUP BY ALL),
-ranked AS (SELECT *, sum(n) OVER (PARTITION BY name, place) AS depth, row_number() OVER (PARTITION BY name, place ORDER BY n DESC, base) AS r FROM counts)"""
+letters AS (SELECT file_id, hap_no, name, unnest(range(1, 61)) AS place, unnest(string_split(sequence, '')) AS base FROM units WHERE length(sequence) = 60 AND name IS NOT NULL),
+counts AS (SELECT file_id, hap_no, name, place, base, count(*) AS n FROM letters GROUP BY ALL),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY file_id, hap_no, name, place) AS depth, row_number() OVER (PARTITION BY file_id, hap_no, name, place ORDER BY n DESC, base) AS r FROM counts)"""
+_PHASED = f"""{_COUNTS},
+places AS (SELECT file_id, hap_no, name, place, max(base) FILTER (r = 1) AS major, max(base) FILTER (r = 2) AS minor FROM ranked WHERE depth >= 5 GROUP BY ALL
+  HAVING max(n) FILTER (r = 2) / any_value(depth) BETWEEN 0.15 AND 0.85),
+bases AS (SELECT file_id, hap_no, name, unit, place, substr(sequence, place, 1) AS base, major, minor FROM units JOIN places USING (file_id, hap_no, name) WHERE length(sequence) = 60),
+scores AS (SELECT file_id, hap_no, name, unit, round(avg(CASE WHEN base = minor THEN 1.0 WHEN base = major THEN 0.0 END), 4) AS score FROM bases GROUP BY ALL HAVING score IS NOT NULL),
+levels AS (SELECT file_id, hap_no, name, score, count(*) AS n, round(score * 10000)::BIGINT AS x FROM scores GROUP BY ALL),
+sums AS (SELECT *, sum(n) OVER w AS i, sum(n * x) OVER w AS s, sum(n) OVER g AS tn, sum(n * x) OVER g AS ts FROM levels
+  WINDOW w AS (PARTITION BY file_id, hap_no, name ORDER BY score), g AS (PARTITION BY file_id, hap_no, name)),
+cuts AS (SELECT file_id, hap_no, name, arg_min(score, (-round(s::DOUBLE * s::DOUBLE / i + (ts - s)::DOUBLE * (ts - s)::DOUBLE / (tn - i), 3), score)) AS cut FROM sums WHERE i < tn GROUP BY ALL),
+phased AS (SELECT s.*, CASE WHEN score > cut THEN 'B' ELSE 'A' END AS phase FROM scores s LEFT JOIN cuts USING (file_id, hap_no, name))"""
 
 ORACLE = {
     "decoded_units": f"WITH {_UNITS} SELECT * FROM units",
@@ -108,14 +140,14 @@ FROM profile JOIN base USING (run) GROUP BY run""",
     "loo_null_fraction": f"""WITH {_PROFILE} SELECT run, unit, tot, n_mut, frac,
   greatest(0.0001, (sum(n_mut) OVER w - n_mut + 0.5) / (sum(tot) OVER w - tot + 1.0)) AS f_null, (sum(tot) OVER w - tot)::BIGINT AS null_obs FROM profile WINDOW w AS (PARTITION BY run)""",
     "positional_decision": f"""WITH {_UNITS},
-profile AS (SELECT hap_rank, unit, count(*) AS tot, count(*) FILTER (net <> 0) AS n_mut, round(count(*) FILTER (net <> 0) / count(*), 4) AS frac FROM units GROUP BY hap_rank, unit),
-nulls AS (SELECT *, greatest(0.0001, (sum(n_mut) OVER w - n_mut + 0.5) / (sum(tot) OVER w - tot + 1.0)) AS f FROM profile WINDOW w AS (PARTITION BY hap_rank)),
-tested AS (SELECT *, count(*) OVER (PARTITION BY hap_rank) AS n_tests FROM nulls WHERE tot >= 15),
-tails AS (SELECT hap_rank, unit, tot, n_mut, frac, n_tests, CASE WHEN n_mut <= 0 THEN 1.0 ELSE
+profile AS (SELECT run, hap_rank, unit, count(*) AS tot, count(*) FILTER (net <> 0) AS n_mut, round(count(*) FILTER (net <> 0) / count(*), 4) AS frac FROM units GROUP BY ALL),
+nulls AS (SELECT *, greatest(0.0001, (sum(n_mut) OVER w - n_mut + 0.5) / (sum(tot) OVER w - tot + 1.0)) AS f FROM profile WINDOW w AS (PARTITION BY run, hap_rank)),
+tested AS (SELECT *, count(*) OVER (PARTITION BY run, hap_rank) AS n_tests FROM nulls WHERE tot >= 15),
+tails AS (SELECT run, hap_rank, unit, tot, n_mut, frac, n_tests, CASE WHEN n_mut <= 0 THEN 1.0 ELSE
   (SELECT sum(exp(lgamma(tot + 1) - lgamma(i + 1) - lgamma(tot - i + 1) + i * ln(f) + (tot - i) * ln(1 - f))) FROM (SELECT unnest(range(n_mut, tot + 1)) AS i)) END AS p FROM tested),
 scored AS (SELECT *, round(least(1.0, p * n_tests), 6) AS p_bonf FROM tails)
-SELECT hap_rank, unit, tot, n_mut, frac, n_tests, p_bonf, p_bonf <= 0.001 AND frac >= 0.1 AND n_mut >= 4 AS called
-FROM (SELECT *, row_number() OVER (PARTITION BY hap_rank ORDER BY p_bonf, frac DESC, unit) AS r FROM scored) WHERE r = 1""",
+SELECT run, hap_rank, unit, tot, n_mut, frac, n_tests, p_bonf, p_bonf <= 0.001 AND frac >= 0.1 AND n_mut >= 4 AS called
+FROM (SELECT *, row_number() OVER (PARTITION BY run, hap_rank ORDER BY p_bonf, frac DESC, unit) AS r FROM scored) WHERE r = 1""",
     "net_indel_per_unit": f"WITH {_UNITS} SELECT file_id, hap_no, hap_rank, unit, name, net FROM units WHERE net <> 0",
     "frameshift_variants": f"WITH {_UNITS} SELECT file_id, hap_no, hap_rank, unit, name, net FROM units WHERE net % 3 <> 0",
     "frameshift_focal": f"""WITH {_UNITS},
@@ -127,9 +159,15 @@ seen AS (SELECT sequence, count(*) AS occurrences, count(DISTINCT (file_id, hap_
   WHERE length(sequence) = 60 AND sequence NOT IN (SELECT seq FROM motif_ref) GROUP BY sequence),
 near AS (SELECT s.*, motif_name, hamming(sequence, seq) AS d FROM seen s, motif_ref WHERE length(seq) = 60)
 SELECT sequence, occurrences, haplotypes, motif_name AS closest, d AS distance FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY d, motif_name) AS r FROM near) WHERE r = 1""",
-    "consensus_plurality": f"WITH {_COUNTS} SELECT name, place, base, depth::BIGINT AS depth, round(n / depth, 4) AS share FROM ranked WHERE r = 1 AND depth >= 3",
-    "phasing_snps": f"""WITH {_COUNTS} SELECT name, place, base AS minor_base, depth::BIGINT AS depth, round(n / depth, 4) AS minor_share
-FROM ranked WHERE r = 2 AND depth >= 5 AND n / depth BETWEEN 0.001 AND 0.85""",
+    "consensus_plurality": f"WITH {_COUNTS} SELECT file_id, hap_no, name, place, base, depth::BIGINT AS depth, round(n / depth, 4) AS share FROM ranked WHERE r = 1 AND depth >= 3",
+    "phasing_snps": f"""WITH {_COUNTS} SELECT file_id, hap_no, name, place, max(base) FILTER (r = 1) AS major_base, max(base) FILTER (r = 2) AS minor_base, any_value(depth)::BIGINT AS depth,
+  round(max(n) FILTER (r = 2) / any_value(depth), 4) AS minor_share FROM ranked WHERE depth >= 5 GROUP BY ALL HAVING max(n) FILTER (r = 2) / any_value(depth) BETWEEN 0.15 AND 0.85""",
+    "phased_copies": f"WITH {_PHASED} SELECT * FROM phased",
+    "phasing_concordance": f"""WITH {_PHASED},
+c AS (SELECT file_id, hap_no, name, place, phase, base, count(*) AS n FROM bases JOIN phased USING (file_id, hap_no, name, unit) GROUP BY ALL),
+m AS (SELECT file_id, hap_no, name, place, phase, sum(n) AS depth, arg_min(base, (-n, base)) AS base, max(n) AS top FROM c GROUP BY ALL),
+p AS (SELECT file_id, hap_no, name, place, max(base) FILTER (phase = 'A' AND depth >= 2 AND top >= 0.8 * depth) AS a, max(base) FILTER (phase = 'B' AND depth >= 2 AND top >= 0.8 * depth) AS b FROM m GROUP BY ALL)
+SELECT file_id, hap_no, name, count(*) AS n_places, count(*) FILTER (a <> b) AS n_concordant FROM p GROUP BY ALL""",
     "homopolymer_runs": f"""WITH {_UNITS},
 distincts AS (SELECT DISTINCT sequence FROM units WHERE sequence <> ''),
 letters AS (SELECT sequence, unnest(range(1, length(sequence) + 1)) AS i, unnest(string_split(sequence, '')) AS base FROM distincts),

@@ -76,10 +76,10 @@ def test_changes(units, spark):
     ref = spark.createDataFrame([("A", A)], "motif_name string, seq string")
     (novel,) = u.novel_units(units, ref).collect()
     assert novel.sequence == B and novel.closest == "A" and novel.distance == sum(x != y for x, y in zip(A, B, strict=True))
-    counts = u.base_counts(units)
-    consensus = {r.place: r.base for r in u.plurality_consensus(counts).collect()}
+    counts = u.base_counts(units, "name")
+    consensus = {r.place: r.base for r in u.plurality_consensus(counts, "name").collect()}
     assert "".join(consensus[k] for k in range(1, 61)) == A
-    assert u.phasing_places(counts, low=0.1).count() == sum(x != y for x, y in zip(A, B, strict=True))
+    assert u.phasing_places(counts, "name", low=0.1).count() == sum(x != y for x, y in zip(A, B, strict=True))
     runs = [tuple(r) for r in u.homopolymers(spark.createDataFrame([("CCCAATTTT",), ("CCCAATTTT",), (None,), ("",)], "sequence string")).collect()]
     assert sorted(runs) == [("CCCAATTTT", 1, "C", 3), ("CCCAATTTT", 6, "T", 4)]
 
@@ -99,9 +99,10 @@ def test_sequences_and_alignments(spark):
     rc = lambda s: s[::-1].translate(str.maketrans("ACGTN", "TGCAN"))
     seqs = [left + unit * 7 + right, rc(left + unit * 3 + right), noisy + unit * 5 + "ACGT" + right, left + unit, None, ""]
     df = spark.createDataFrame([(k, s) for k, s in enumerate(seqs)], "i int, s string")
-    got = {r.i: r.n for r in df.select("i", sequences.anchored_copies(F.col("s"), left, right).alias("n")).collect()}
-    assert got == {0: 7, 1: 3, 2: 5, 3: None, 4: None, 5: None}
-    assert df.select(sequences.reverse_complement(F.lit("ACGTN"))).first()[0] == "NACGT"
+    none = sequences.Measure(with_anchors=False)
+    got = {r.i: r.m and tuple(r.m) for r in df.select("i", sequences.measured_copies(F.col("s"), left, right, none).alias("m")).collect()}
+    assert got == {0: (7, 60, 60, False), 1: (3, 60, 60, True), 2: (5, 60, 60, False), 3: None, 4: None, 5: None}
+    assert df.select(sequences.reverse_complement(F.lit("ACGTNa"))).first()[0] == "tNACGT"
     assert df.select(sequences.tract_lengths(F.lit("GACCCAGTGACCAGT"), "GA", "C", "AG")).first()[0] == [3, 2]
     c = F.expr("array(named_struct('op', 4, 'len', 5), named_struct('op', 0, 'len', 10), named_struct('op', 1, 'len', 2), named_struct('op', 2, 'len', 3), named_struct('op', 7, 'len', 4))")
     one = df.select(cigar.reference_length(c), cigar.query_length(c), cigar.end_clips(c), cigar.inserted(c), cigar.deleted(c), cigar.overlap(F.lit(5), F.lit(9), 7, 30), cigar.overlap(F.lit(5), F.lit(9), 9, 30)).first()
