@@ -112,7 +112,7 @@ def carrier_allele(calls: DataFrame, shares: DataFrame, *, factor: float = 2.5)
     """Which of two alleles a share of carrier reads speaks for: the one whose abundance is nearest by ratio.
 
     ``calls`` as of ``call_peaks``, ``shares`` has ``sample_id`` and ``share``. Confident if the nearest ratio is at most
-    ``factor`` and 1.5 times nearer than the other.
+    ``factor`` and more than 1.5 times nearer than the other.
     """
     total = F.col("count1") + F.col("count2")
     far = lambda c: F.greatest(F.col("share") / (F.col(c) / total), (F.col(c) / total) / F.col("share"))
@@ -120,5 +120,5 @@ def carrier_allele(calls: DataFrame, shares: DataFrame, *, factor: float = 2.5)
     near, other = F.least("d1", "d2"), F.greatest("d1", "d2")
     return held.select(
         "sample_id", "share", F.when(F.col("d1") <= F.col("d2"), F.col("allele1")).otherwise(F.col("allele2")).alias("carrier_allele"),
-        ((near <= factor) & (other >= 1.5 * near)).alias("is_confident"),
+        ((near <= factor) & (other > 1.5 * near)).alias("is_confident"),
     )

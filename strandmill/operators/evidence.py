@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandmill.functions.tails import binomial_tail
+from strandmill.operators.lengths import packed_lengths
 from strandmill.operators.nested_records import nested_tables
 
 
@@ -56,11 +57,14 @@ def allele_assignment(hist: DataFrame, stated: DataFrame, *, min_gap: int = 5) -
     ``stated`` has ``row_id``, ``sample_id``, ``mut_len``, ``other_len``. Lengths nearer than ``min_gap`` are ambiguous;
     equal distances go to the first.
     """
-    both = stated.filter("mut_len is not null and other_len is not null").join(hist, "sample_id")
-    a, b = F.abs(F.col("copies") - F.col("mut_len")), F.abs(F.col("copies") - F.col("other_len"))
+    both = stated.filter("mut_len is not null and other_len is not null").join(packed_lengths(hist), "sample_id")
+    off = lambda x, c: F.abs(x["copies"] - F.col(c))
     close = F.abs(F.col("mut_len") - F.col("other_len")) < min_gap
-    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
-    return both.groupBy("row_id").agg(total(~close & (a <= b)).alias("n_mut"), total(~close & (a > b)).alias("n_other"), total(close).alias("n_ambiguous"))
+    total = lambda keep: F.aggregate(F.filter("lengths", keep), F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    return both.select(
+        "row_id", total(lambda x: ~close & (off(x, "mut_len") <= off(x, "other_len"))).alias("n_mut"), total(lambda x: ~close & (off(x, "mut_len") > off(x, "other_len"))).alias("n_other"),
+        total(lambda x: close).alias("n_ambiguous"),
+    )
 
 
 def length_guardrail(hist: DataFrame, *, least: int = 20, flat: float = 1.5) -> DataFrame:
@@ -83,17 +87,21 @@ def minor_fraction(hist: DataFrame) -> DataFrame:
 
 def nearest_lengths(wanted: DataFrame, hist: DataFrame) -> DataFrame:
     """As-of join by distance: for each ``row_id``, ``sample_id``, ``length`` the nearest length with reads, the smaller of equals."""
-    off = F.abs(F.col("copies") - F.col("length"))
-    near = wanted.filter("length is not null").join(hist, "sample_id").groupBy("row_id").agg(F.min(F.struct(off.alias("off"), F.col("copies").alias("copies"))).alias("m"))
-    return near.select("row_id", F.col("m.copies").alias("nearest"), F.col("m.off").alias("distance"))
+    held = wanted.filter("length is not null").join(packed_lengths(hist), "sample_id")
+    near = F.array_min(F.transform("lengths", lambda x: F.struct(F.abs(x["copies"] - F.col("length")).alias("off"), x["copies"].alias("copies"))))
+    return held.withColumn("m", near).select("row_id", F.col("m.copies").alias("nearest"), F.col("m.off").alias("distance"))
 
 
 def bias_calibration(bias: DataFrame) -> DataFrame:
     """Cohort estimate of the length bias: least squares through the origin on the log ratios, and the median of the samples."""
     y, x = F.log(F.col("count2") / F.col("count1")), F.col("delta").cast("double")
-    return bias.agg(
-        F.count("*").alias("n_samples"), F.round(F.exp(F.sum(x * y) / F.sum(x * x)), 4).alias("pooled"), F.round(F.percentile("bias", 0.5), 4).alias("median"),
-        F.round(F.percentile(F.when(F.col("delta") <= 20, F.col("bias")), 0.5), 4).alias("median_small"), F.round(F.percentile(F.when(F.col("delta") >= 33, F.col("bias")), 0.5), 4).alias("median_large"),
+    # biases have four digits: samples are counted by value first, so that no task holds all of them
+    part = F.when(F.col("delta") <= 20, "small").when(F.col("delta") >= 33, "large").otherwise("between")
+    counts = bias.groupBy("bias", part.alias("part")).agg(F.count("*").alias("n"), F.sum(x * y).alias("xy"), F.sum(x * x).alias("xx"))
+    median = lambda keep: F.round(F.percentile(F.when(keep, F.col("bias")), 0.5, F.col("n")), 4)
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_samples"), F.round(F.exp(F.sum("xy") / F.sum("xx")), 4).alias("pooled"), median(F.lit(True)).alias("median"),
+        median(F.col("part") == "small").alias("median_small"), median(F.col("part") == "large").alias("median_large"),
     )
 
 

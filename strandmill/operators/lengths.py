@@ -178,3 +178,47 @@ def run_platforms(reads: DataFrame) -> DataFrame:
     kind = F.when(name.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"), "ONT").when(name.rlike("/ccs$"), "PacBio HiFi").otherwise("unknown")
     votes = reads.withColumn("platform", kind).groupBy("run", "platform").agg(F.count("*").alias("n"))
     return votes.groupBy("run").agg(F.sum("n").alias("n_reads"), F.min_by("platform", F.struct(-F.col("n"), "platform")).alias("platform"), F.max("n").alias("votes"))
+
+
+def packed_lengths(hist: DataFrame) -> DataFrame:
+    """One row per sample with its histogram as ``lengths``, an array of ``copies`` and ``n``; it is no longer than the range of counts."""
+    return hist.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("copies", "n"))).alias("lengths"))
+
+
+def modal_lengths(hist: DataFrame) -> DataFrame:
+    """Most frequent length of each sample (the longer of equals), its reads, and whether the next is too rare for a second allele.
+
+    ``is_single``: the most frequent has 5 reads or more, and the second fewer than a quarter of them.
+    """
+    order = Window.partitionBy("sample_id").orderBy(F.desc("n"), F.desc("copies"))
+    top = hist.withColumn("r", F.row_number().over(order)).filter("r <= 2").groupBy("sample_id").agg(
+        F.max(F.when(F.col("r") == 1, F.col("copies"))).alias("mode"), F.max(F.when(F.col("r") == 1, F.col("n"))).alias("n_mode"), F.max(F.when(F.col("r") == 2, F.col("n"))).alias("n2")
+    )
+    single = (F.col("n_mode") >= 5) & (F.coalesce("n2", F.lit(0)) / F.col("n_mode") < 0.25)
+    return top.select("sample_id", "mode", "n_mode", single.alias("is_single"))
+
+
+def best_windows(hist: DataFrame, *, reach: int = 2) -> DataFrame:
+    """The length around which most reads lie (within ``reach``), the shortest of equals, and the most frequent length in that window."""
+    around = Window.partitionBy("sample_id").orderBy("copies").rangeBetween(-reach, reach)
+    sums = hist.withColumn("s", F.sum("n").over(around)).withColumn("mode", F.min(F.struct((-F.col("n")).alias("n"), "copies")).over(around))
+    best = sums.groupBy("sample_id").agg(F.min(F.struct((-F.col("s")).alias("s"), "copies", F.col("mode.copies").alias("mode"))).alias("b"))
+    return best.select("sample_id", F.col("b.copies").alias("center"), (-F.col("b.s")).alias("n_window"), "b.mode")
+
+
+def longest_peaks(hist: DataFrame, *, sep: int = 12, frac: float = 0.05, min_reads: int = 6, smooth: int = 2) -> DataFrame:
+    """The longest length that is a substantial peak: smoothed counts of ``frac`` of the reads or more, and none greater within half of ``sep``."""
+    totals = hist.groupBy("sample_id").agg(F.sum("n").alias("n_reads"))
+    order = Window.partitionBy("sample_id").orderBy("copies")
+    smoothed = hist.withColumn("s", F.sum("n").over(order.rangeBetween(-smooth, smooth)))
+    tops = smoothed.withColumn("top", F.max("s").over(order.rangeBetween(-(sep // 2), sep // 2))).join(totals, "sample_id")
+    peaks = tops.filter((F.col("s") >= F.col("top")) & (F.col("s") >= F.greatest(F.lit(min_reads), frac * F.col("n_reads"))))
+    return peaks.groupBy("sample_id").agg(F.max("copies").alias("longest"), F.count("*").alias("n_peaks"))
+
+
+def reads_near(hist: DataFrame, stated: DataFrame, *, tolerance: int = 4) -> DataFrame:
+    """Reads of a sample within ``tolerance`` of a stated ``length``: ``row_id``, ``n_near``, ``n_reads``."""
+    held = stated.filter("length is not null").join(packed_lengths(hist), "sample_id")
+    total = lambda keep: F.aggregate(F.filter("lengths", keep), F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
+    near = total(lambda x: F.abs(x["copies"] - F.col("length")) <= tolerance)
+    return held.select("row_id", near.alias("n_near"), total(lambda x: F.lit(True)).alias("n_reads"))

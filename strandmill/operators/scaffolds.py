@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandmill.operators.lengths import packed_lengths
+
 
 def read_concentration(hist: DataFrame) -> DataFrame:
     """Share of a sample's reads on its two busiest lengths."""
@@ -16,20 +18,19 @@ def scaffolds_for_lengths(hist: DataFrame, lengths: DataFrame, *, window: int =
     """Per stated length the busiest length of the sample within ``window``, else the busiest of all; the second never takes the first's.
 
     ``lengths`` has ``row_id``, ``sample_id``, ``a1``, ``a2``. Equal counts go to the nearer, then to the smaller length.
-    Two picks are two passes, so there is no loop.
+    The second pick follows the first within the row.
     """
 
-    def pick(want: str, taken: str | None, out: str, df: DataFrame) -> DataFrame:
-        pool = df.join(hist, "sample_id").filter(F.col(want).isNotNull())
-        if taken:
-            pool = pool.filter(F.col(taken).isNull() | (F.col("copies") != F.col(taken)))
-        off = F.abs(F.col("copies") - F.col(want))
-        order = F.struct((off > window).cast("int"), -F.col("n"), off, F.col("copies"))
-        best = pool.groupBy("row_id").agg(F.min_by("copies", order).alias(out))
-        return df.join(best, "row_id", "left")
-
-    first = pick("a1", None, "scaffold1", lengths.select("row_id", "sample_id", "a1", "a2"))
-    return pick("a2", "scaffold1", "scaffold2", first)
+    held = lengths.select("row_id", "sample_id", "a1", "a2").join(packed_lengths(hist), "sample_id", "left")
+
+    def pick(want: str, taken: Column) -> Column:
+        pool = F.filter("lengths", lambda x: taken.isNull() | (x["copies"] != taken))
+        off = lambda x: F.abs(x["copies"] - F.col(want))
+        order = lambda x: F.struct((off(x) > window).cast("int").alias("far"), (-x["n"]).alias("n"), off(x).alias("off"), x["copies"].alias("copies"))
+        return F.when(F.col(want).isNotNull(), F.array_min(F.transform(pool, order))["copies"])
+
+    first = held.withColumn("scaffold1", pick("a1", F.lit(None).cast("int")))
+    return first.withColumn("scaffold2", pick("a2", F.col("scaffold1"))).drop("lengths")
 
 
 def length_congruence(calls: DataFrame, stated: DataFrame) -> DataFrame:

@@ -157,5 +157,5 @@ SELECT sample_id, read_id, copies FROM (SELECT *, row_number() OVER (PARTITION B
 shares AS (SELECT {_SUBJECT} AS sample_id, sum(n8c) / sum(tot) AS share FROM review_features WHERE tot > 0 AND has_mut GROUP BY 1),
 far AS (SELECT c.*, share, greatest(share / (count1 / (count1 + count2)), count1 / (count1 + count2) / share) AS d1, greatest(share / (count2 / (count1 + count2)), count2 / (count1 + count2) / share) AS d2
   FROM called c JOIN shares USING (sample_id) WHERE allele2 IS NOT NULL AND share > 0)
-SELECT sample_id, round(share, 6) AS share, CASE WHEN d1 <= d2 THEN allele1 ELSE allele2 END AS carrier_allele, least(d1, d2) <= 2.5 AND greatest(d1, d2) >= 1.5 * least(d1, d2) AS is_confident FROM far""",
+SELECT sample_id, round(share, 6) AS share, CASE WHEN d1 <= d2 THEN allele1 ELSE allele2 END AS carrier_allele, least(d1, d2) <= 2.5 AND greatest(d1, d2) > 1.5 * least(d1, d2) AS is_confident FROM far""",
 }
