@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandmill.functions.keyed import split_repeated
+from strandmill.functions.keyed import BROADCAST_ROWS, split_repeated
 from strandmill.functions.lineage import checkpointed
 
 #: Files numbered per block when a stream's history is carried on; bounds what one task sorts.
@@ -268,11 +268,12 @@ def schema_changes(
     )
     side = lambda df, n: df.withColumnRenamed("field", n).join(domain.select("s", F.col("field").alias(n), "class", *(F.col(c).alias(f"{n}_{c}") for c in ("low", "high", "known", "wholes", "flags"))), ["s", n])
     pairs = checkpointed(side(removed, "old").join(side(added.drop("f", "f_before"), "new"), ["s", "seq", "class"]))
-    # only rows of files with such a pair are read again, only the paired fields are taken apart
-    sides = pairs.select("s", F.col("f_before").alias("f"), F.col("old").alias("field")).unionByName(pairs.select("s", "f", F.col("new").alias("field")))
-    wanted = sides.groupBy("s", "f").agg(F.collect_set("field").alias("fields"))
-    of_pairs = cells.filter("entity is not null and text is not null").join(wanted, ["s", "f"])
-    again = of_pairs.filter(F.array_contains("fields", F.col("field")))
+    # one row per pair was written, so its number is known: the lists of fields to look up are broadcast if they are short
+    n_pairs, n_texts = pairs.agg(F.count("*"), F.count(F.when(F.col("class") == "text", 1))).first()
+    short = (lambda df: F.broadcast(df)) if 2 * n_pairs <= BROADCAST_ROWS else (lambda df: df)
+    # only the paired fields of the files with such a pair are read again
+    sides = pairs.select("s", F.col("f_before").alias("f"), F.col("old").alias("field")).unionByName(pairs.select("s", "f", F.col("new").alias("field"))).distinct()
+    again = cells.filter("entity is not null and text is not null").join(short(sides), ["s", "f", "field"])
     values = again.select("s", "f", "field", "entity", F.coalesce(F.col("number").cast("string"), "text").alias("value")).distinct()
     olds = values.select("s", F.col("f").alias("f_before"), F.col("field").alias("old"), "entity", F.col("value").alias("x"))
     news = values.select("s", "f", F.col("field").alias("new"), "entity", F.col("value").alias("y"))
@@ -284,7 +285,8 @@ def schema_changes(
     # texts: the share of their values that two fields have in common
     texts = pairs.filter("class = 'text'").select("s", "old", "new").distinct()
     listed = texts.select("s", F.explode(F.array("old", "new")).alias("field")).distinct()
-    sets = cells.filter("text is not null").join(listed, ["s", "field"]).select("s", "field", "text").distinct()
+    none = cells.sparkSession.createDataFrame([], "s string, field string, text string")
+    sets = cells.filter("text is not null").join(short(listed), ["s", "field"]).select("s", "field", "text").distinct() if n_texts else none
     sizes = sets.groupBy("s", "field").agg(F.count("*").alias("size"))
     both = texts.join(sets.withColumnRenamed("field", "old"), ["s", "old"]).join(sets.withColumnRenamed("field", "new"), ["s", "new", "text"])
     both = both.groupBy("s", "old", "new").agg(F.count("*").alias("both"))
