@@ -134,3 +134,38 @@ def segment_type(segment: Column, base: str = "C", other: str = "G", usual: int
     rest = F.concat(F.when(off > 0, base.lower() + "Ins").otherwise(base.lower() + "Del"), F.abs(off).cast("string"))
     one = (off == 1) & (F.length(F.replace(segment, F.lit(other), F.lit(""))) == usual) & F.replace(segment, F.lit(other), F.lit("")).rlike(f"^{base}+$")
     return F.when(pure, F.coalesce(more, rest)).when(one & segment.startswith(other), f"dup{other}").when(one, f"ins{other}").when(segment.isNotNull(), "other")
+
+
+def longest_tandem(seq: bytes, unit: bytes, most: int) -> tuple[int, int]:
+    """Units and start of the longest stretch of ``unit`` one after another, each with at most ``most`` differing bases; the first of equals, (0, -1) without any."""
+    n = len(unit)
+    if not n or len(seq) < n:
+        return 0, -1
+    windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(seq, np.uint8), n)
+    like = np.concatenate([(windows[low : low + 20_000] != np.frombuffer(unit, np.uint8)).sum(axis=1) <= most for low in range(0, len(windows), 20_000)])
+    # one column per phase: a stretch is a run down a column
+    padded = np.zeros(-(-len(like) // n) * n, bool)
+    padded[: len(like)] = like
+    grid = padded.reshape(-1, n)
+    length = np.zeros(grid.shape, np.int64)
+    below = np.zeros(n, np.int64)
+    for r in range(len(grid) - 1, -1, -1):
+        below = np.where(grid[r], below + 1, 0)
+        length[r] = below
+    at = int(length.argmax())
+    best = int(length.flat[at])
+    return (best, at) if best else (0, -1)
+
+
+def tandem_stretch(seq: Column, unit: Column, most: int = 6) -> Column:
+    """Struct of ``units`` and ``start`` (from 0) of the longest tandem stretch of ``unit``; 0 and null where there is none, null for nulls."""
+
+    @F.pandas_udf("units int, start int")
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for seqs, units in batches:
+            rows = [(None, None) if s is None or u is None else longest_tandem(s.encode(), u.encode(), most) for s, u in zip(seqs, units, strict=True)]
+            out = pd.DataFrame(rows, columns=["units", "start"])
+            out["start"] = out["start"].where(out["units"] != 0)
+            yield out.astype({"units": "Int32", "start": "Int32"})
+
+    return found(F.upper(seq), F.upper(unit))

@@ -1,4 +1,4 @@
-"""Tails of discrete distributions as Arrow-batched column functions; one pass per batch, no rows in Python objects."""
+"""Tails of discrete distributions as Arrow-batched column functions; the rows of a batch are summed together."""
 
 from __future__ import annotations
 
@@ -14,6 +14,27 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return np.fromiter((math.lgamma(v) for v in x), float, len(x))
 
 
+def _tail(k: np.ndarray, low: np.ndarray, high: np.ndarray, mean: np.ndarray, log_term, rise, patient: np.ndarray | None = None) -> np.ndarray:
+    """P(X >= k) of distributions on ``low`` to ``high``, all rows at once.
+
+    ``log_term(i)`` is the log of P(X = i), ``rise(i)`` is P(X = i + 1) / P(X = i). The shorter side is summed: upwards from k, or
+    downwards from k - 1 below the mean, until terms no longer count (rows of ``patient``: to the end, as they may rise again).
+    """
+    up = k > mean
+    i = np.where(up, k, k - 1)
+    term = np.exp(log_term(i))
+    total, live = term.copy(), np.where(up, i < high, i > low)
+    while live.any():
+        with np.errstate(divide="ignore", invalid="ignore"):
+            step = np.where(up, rise(i), 1 / rise(i - 1))
+        term = np.where(live, term * step, 0.0)
+        i = np.where(live, i + np.where(up, 1, -1), i)
+        total += term
+        counts = term > 1e-17 * total if patient is None else patient | (term > 1e-17 * total)
+        live &= counts & np.where(up, i < high, i > low)
+    return np.clip(np.where(up, total, 1 - total), 0, 1)
+
+
 def binomial_tail(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
     """P(X >= k): 1 for k <= 0, 0 for k > n or p <= 0 (k > 0); null where an argument is."""
     out = np.full(len(k), np.nan)
@@ -25,64 +46,52 @@ def binomial_tail(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
     if not len(at):
         return out
     k, n, p = k[at], n[at], p[at]
-    # the shorter side is summed: upwards from k, or downwards from k - 1 below the mean
-    up = k > n * p
-    i = np.where(up, k, k - 1)
-    term = np.exp(_log_gamma(n + 1) - _log_gamma(i + 1) - _log_gamma(n - i + 1) + i * np.log(p) + (n - i) * np.log1p(-p))
-    odds, total, live = p / (1 - p), term.copy(), np.ones(len(k), bool)
-    while live.any():
-        rise = term * (n - i) / np.maximum(i + 1, 1) * odds
-        fall = term * i / (np.maximum(n - i + 1, 1) * odds)
-        term = np.where(live, np.where(up, rise, fall), 0.0)
-        i = np.where(live, i + np.where(up, 1, -1), i)
-        total += term
-        live &= (term > 1e-17 * total) & np.where(up, i < n, i > 0)
-    out[at] = np.clip(np.where(up, total, 1 - total), 0, 1)
+    term = lambda i: _log_gamma(n + 1) - _log_gamma(i + 1) - _log_gamma(n - i + 1) + i * np.log(p) + (n - i) * np.log1p(-p)
+    out[at] = _tail(k, np.zeros(len(k)), n, n * p, term, lambda i: (n - i) / (i + 1) * p / (1 - p))
     return out
 
 
 def beta_binomial_tail(k: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """P(X >= k) of a beta-binomial with a, b > 0; as ``binomial_tail`` at the ends."""
     out = np.full(len(k), np.nan)
-    for r in range(len(k)):
-        if np.isnan(k[r]) or np.isnan(n[r]) or np.isnan(a[r]) or np.isnan(b[r]):
-            continue
-        if k[r] <= 0:
-            out[r] = 1.0
-        elif k[r] > n[r]:
-            out[r] = 0.0
-        else:
-            i = np.arange(int(k[r]), int(n[r]))
-            start = (
-                math.lgamma(n[r] + 1) - math.lgamma(k[r] + 1) - math.lgamma(n[r] - k[r] + 1)
-                + math.lgamma(k[r] + a[r]) + math.lgamma(n[r] - k[r] + b[r]) - math.lgamma(n[r] + a[r] + b[r])
-                + math.lgamma(a[r] + b[r]) - math.lgamma(a[r]) - math.lgamma(b[r])
-            )
-            steps = np.log((n[r] - i) * (a[r] + i)) - np.log((i + 1) * (b[r] + n[r] - i - 1))
-            logs = start + np.concatenate([[0.0], np.cumsum(steps)])
-            top = logs.max()
-            out[r] = min(1.0, float(np.exp(top) * np.exp(logs - top).sum()))
+    known = ~(np.isnan(k) | np.isnan(n) | np.isnan(a) | np.isnan(b))
+    out[known & (k <= 0)] = 1.0
+    out[known & (k > 0) & (k > n)] = 0.0
+    at = np.flatnonzero(known & (k > 0) & (k <= n) & (a > 0) & (b > 0))
+    if not len(at):
+        return out
+    k, n, a, b = k[at], n[at], a[at], b[at]
+    term = lambda i: (
+        _log_gamma(n + 1) - _log_gamma(i + 1) - _log_gamma(n - i + 1) + _log_gamma(i + a) + _log_gamma(n - i + b) - _log_gamma(n + a + b)
+        + _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b)
+    )
+    rise = lambda i: (n - i) * (a + i) / ((i + 1) * (b + n - i - 1))
+    out[at] = _tail(k, np.zeros(len(k)), n, n * a / (a + b), term, rise, (a < 1) | (b < 1))
     return out
 
 
 def fisher_tail(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
     """One-sided Fisher test of a / (a + b) > c / (c + d); 1 where a margin is empty."""
     out = np.full(len(a), np.nan)
-    for r, (w, x, y, z) in enumerate(zip(a, b, c, d, strict=True)):
-        if any(np.isnan(v) for v in (w, x, y, z)):
-            continue
-        n, row, col = w + x + y + z, w + x, w + y
-        if row == 0 or y + z == 0 or col == 0 or x + z == 0:
-            out[r] = 1.0
-            continue
-        i = np.arange(int(w), int(min(row, col)))
-        start = (
-            math.lgamma(row + 1) - math.lgamma(w + 1) - math.lgamma(row - w + 1) + math.lgamma(n - row + 1) - math.lgamma(col - w + 1)
-            - math.lgamma(n - row - col + w + 1) - math.lgamma(n + 1) + math.lgamma(col + 1) + math.lgamma(n - col + 1)
-        )
-        steps = np.log((row - i) * (col - i)) - np.log((i + 1) * (n - row - col + i + 1))
-        logs = start + np.concatenate([[0.0], np.cumsum(steps)])
-        out[r] = min(1.0, float(np.exp(logs).sum()))
+    known = ~(np.isnan(a) | np.isnan(b) | np.isnan(c) | np.isnan(d))
+    filled = (a + b > 0) & (c + d > 0) & (a + c > 0) & (b + d > 0)
+    out[known & ~filled] = 1.0
+    at = np.flatnonzero(known & filled)
+    if not len(at):
+        return out
+    w, row, col, n = a[at], (a + b)[at], (a + c)[at], (a + b + c + d)[at]
+    low, high = np.maximum(0, row + col - n), np.minimum(row, col)
+    term = lambda i: (
+        _log_gamma(row + 1) - _log_gamma(i + 1) - _log_gamma(row - i + 1) + _log_gamma(n - row + 1) - _log_gamma(col - i + 1)
+        - _log_gamma(n - row - col + i + 1) - _log_gamma(n + 1) + _log_gamma(col + 1) + _log_gamma(n - col + 1)
+    )
+    tail = np.ones(len(w))
+    # at the low end the tail is everything
+    above = np.flatnonzero(w > low)
+    if len(above):
+        w, row, col, n, low, high = (x[above] for x in (w, row, col, n, low, high))
+        tail[above] = _tail(w, low, high, row * col / n, term, lambda i: (row - i) * (col - i) / ((i + 1) * (n - row - col + i + 1)))
+    out[at] = tail
     return out
 
 

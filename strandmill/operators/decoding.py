@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,32 +12,39 @@ from pyspark.sql import functions as F
 from strandmill.functions.bounded import collect_bounded
 
 
-def greedy_units(text: str, units: list[tuple[str, str]], most: int = 3) -> Iterator[tuple[str, int, int, int]]:
+class Units:
+    """Known units: exact ones by sequence, and per length a matrix for the nearest."""
+
+    def __init__(self, units: list[tuple[str, str]]):
+        self.exact = dict(units)
+        self.lengths = sorted({len(seq) for seq, _ in units}, reverse=True)
+        self.near = {}
+        for n in self.lengths:
+            own = [(seq, name) for seq, name in units if len(seq) == n]
+            self.near[n] = (np.frombuffer("".join(seq for seq, _ in own).encode("latin-1", "replace"), np.uint8).reshape(len(own), n), [name for _, name in own])
+
+    def nearest(self, part: np.ndarray, most: int) -> tuple[str, int] | None:
+        """Name and differing bases of the nearest unit of the length of ``part``, the first of equals."""
+        matrix, names = self.near[len(part)]
+        differ = (matrix != part).sum(axis=1)
+        k = int(differ.argmin())
+        return (names[k], int(differ[k])) if differ[k] <= most else None
+
+
+def greedy_units(text: str, units: Units, most: int = 3) -> Iterator[tuple[str, int, int, int]]:
     """(name, place, length, differing bases): at each place the exact unit, the longest first, else the nearest of its length; else a base is passed over."""
-    exact, by_length = dict(units), {}
-    for seq, name in units:
-        by_length.setdefault(len(seq), []).append((seq, name))
-    lengths, at = sorted(by_length, reverse=True), 0
+    letters, at = np.frombuffer(text.encode("latin-1", "replace"), np.uint8), 0
     while at < len(text):
-        for n in lengths:
-            if name := exact.get(text[at : at + n]):
-                yield name, at, n, 0
-                at += n
-                break
+        found = next(((name, at, n, 0) for n in units.lengths if (name := units.exact.get(text[at : at + n]))), None)
+        if found is None:
+            for n in units.lengths:
+                if at + n <= len(text) and (hit := units.nearest(letters[at : at + n], most)) and (found is None or hit[1] < found[3]):
+                    found = (hit[0], at, n, hit[1])
+        if found is None:
+            at += 1
         else:
-            near = None
-            for n in lengths:
-                part = text[at : at + n]
-                if len(part) == n:
-                    for seq, name in by_length[n]:
-                        d = sum(x != y for x, y in zip(part, seq, strict=True))
-                        if d <= most and (near is None or d < near[3]):
-                            near = (name, at, n, d)
-            if near:
-                yield near
-                at += near[2]
-            else:
-                at += 1
+            yield found
+            at += found[2]
 
 
 def decode(haplotypes: DataFrame, reference: DataFrame, *, text: str = "consensus", most: int = 3, limit: int = 10_000) -> DataFrame:
@@ -47,11 +55,12 @@ def decode(haplotypes: DataFrame, reference: DataFrame, *, text: str = "consensu
     known = sorted(((r[0].upper(), r[1]) for r in collect_bounded(reference.select("seq", "motif_name").filter("seq is not null and seq != ''"), limit)), key=lambda x: x[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units = Units(known)
         for batch in batches:
             rows = [
                 (f, h, i, *unit)
                 for f, h, t in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-                for i, unit in enumerate(greedy_units((t or "").upper(), known, most), 1)
+                for i, unit in enumerate(greedy_units((t or "").upper(), units, most), 1)
             ]
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32())
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 7

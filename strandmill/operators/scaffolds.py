@@ -51,6 +51,27 @@ def length_congruence(calls: DataFrame, stated: DataFrame) -> DataFrame:
     return held.select("row_id", "sample_id", "max_delta", status.alias("status"))
 
 
+def length_comparison(calls: DataFrame, stated: DataFrame, *, missing: float = 4.5, offset: tuple[float, float] = (3.5, 4.5)) -> DataFrame:
+    """Stated lengths against called ones, with the reasons in order: a common offset, then a stated length without any call, then the largest difference.
+
+    ``OFFSET_SUSPECT`` if all pairs (sorted, from the shortest) differ by ``offset`` to the same side; ``ALLELE_MISSING`` if a stated length has no call
+    within ``missing``, these are listed in ``missing``; else CONCORDANT up to 1, SPREAD up to 3, DIVERGENT; INSUFFICIENT where one side is empty.
+    """
+    lists = stated.join(calls.select("sample_id", "allele1", "allele2"), "sample_id", "left")
+    held = lists.withColumn("x", F.array_sort(F.array_compact(F.array("a1", "a2")))).withColumn("y", F.array_sort(F.array_compact(F.array("allele1", "allele2"))))
+    pairs = F.least(F.size("x"), F.size("y"))
+    signed = F.zip_with(F.slice("x", F.lit(1), pairs), F.slice("y", F.lit(1), pairs), lambda a, b: a - b)
+    held = held.withColumn("d", signed).withColumn("missing", F.filter("x", lambda a: ~F.exists("y", lambda b: F.abs(a - b) <= missing)))
+    within = lambda v: v.between(*offset)
+    shifted = F.forall("d", within) | F.forall("d", lambda v: within(-v))
+    most = F.array_max(F.transform("d", F.abs))
+    status = (
+        F.when(F.size("d") == 0, "INSUFFICIENT").when(shifted, "OFFSET_SUSPECT").when(F.size("missing") > 0, "ALLELE_MISSING")
+        .when(most <= 1, "CONCORDANT").when(most <= 3, "SPREAD").otherwise("DIVERGENT")
+    )
+    return held.select("row_id", "sample_id", F.when(F.size("d") > 0, F.array_join(F.transform("missing", lambda v: v.cast("string")), ",")).alias("missing"), status.alias("status"))
+
+
 def min_variance_cut(df: DataFrame, by: str, value: str, *, digits: int = 4) -> DataFrame:
     """Cut of a group's values into two parts with the least squares, from counts of rounded values; the first of equals.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandmill.functions import tails
 from strandmill.functions.bounded import collect_bounded
 from strandmill.operators import cohort, lengths
-from strandmill.plans.data_quality import score_table
+from strandmill.plans.data_quality import SCORE_SQL, score_table
 from strandmill.plans.length_queries import _PEAKS
 from strandmill.sources import load_table
 
@@ -148,6 +148,12 @@ FROM counts WHERE f > 0 AND f < 1""",
 m AS (SELECT *, a + b AS r, a + c AS col, a + b + c + d AS n FROM t)
 SELECT subject, repeat_index, a, b, c, d, CASE WHEN r = 0 OR c + d = 0 OR col = 0 OR b + d = 0 THEN 1.0 ELSE round(least(1.0, (SELECT sum(exp(lgamma(r + 1) - lgamma(i + 1) - lgamma(r - i + 1)
   + lgamma(n - r + 1) - lgamma(col - i + 1) - lgamma(n - r - col + i + 1) - lgamma(n + 1) + lgamma(col + 1) + lgamma(n - col + 1))) FROM (SELECT unnest(range(a, least(r, col) + 1)) AS i))), 6) END AS p FROM m""",
+    # the normal distribution by its series
+    "fs_tail_score": f"""WITH {SCORE_SQL},
+t AS (SELECT file_id, row_no, sample, mut_len, healthy_len, mut_len - position AS tail, (mut_len - position - {cohort.TAIL_MEAN}) / {cohort.TAIL_SD} AS z FROM score),
+e AS (SELECT *, CASE WHEN abs(z) > 8 THEN (z > 0)::INT::DOUBLE ELSE 0.5 + (SELECT sum((CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END) * pow(z, 2 * k + 1) * exp(-k * ln(2.0) - lgamma(k + 1)) / (2 * k + 1)) FROM (SELECT unnest(range(0, 130)) AS k)) / sqrt(2 * pi()) END AS p FROM t)
+SELECT file_id, row_no, sample, tail, round(mut_len / nullif(healthy_len, 0), 3) AS ratio, round(tail / nullif(mut_len, 0), 4) AS tail_index, round(z, 3) AS z, round(p, 4) AS percentile,
+  CASE WHEN p < 0.1 THEN 'very mild' WHEN p < 0.5 THEN 'mild' WHEN p <= 0.9 THEN 'severe' WHEN p > 0.9 THEN 'very severe' END AS class FROM e""",
     "variant_family": """WITH ref AS (SELECT list({'k': lower(variant), 'v': variant} ORDER BY length(variant) DESC, variant) AS l FROM variant_ref WHERE variant IS NOT NULL),
 plain AS (SELECT row_id, lower(regexp_replace(variant_raw, '[^0-9A-Za-z_]', '', 'g')) AS p FROM cohort_sheet WHERE variant_raw IS NOT NULL)
 SELECT row_id, list_filter(l, lambda r: contains(p, r.k))[1].v AS family FROM plain, ref""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmill.operators import cohort, evaluation, lengths, unit_profiles
@@ -21,7 +21,8 @@ def _features(spark: SparkSession, folder: str) -> DataFrame:
     return load_table(spark, folder, "review_features")
 
 
-_SUBJECT_OF = cohort.subject_key(F.col("sample"))
+def _subject() -> Column:
+    return cohort.subject_key(F.col("sample"))
 
 
 def share_rank_sum(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,11 +36,11 @@ def length_rank_correlation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def variant_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.score_calls(_sheet(spark, folder), evaluation.best_records(_features(spark, folder), _SUBJECT_OF), _SUBJECT_OF)
+    return evaluation.score_calls(_sheet(spark, folder), evaluation.best_records(_features(spark, folder), _subject()), _subject())
 
 
 def miss_table(spark: SparkSession, folder: str) -> DataFrame:
-    return evaluation.miss_table(_sheet(spark, folder), _features(spark, folder), _SUBJECT_OF)
+    return evaluation.miss_table(_sheet(spark, folder), _features(spark, folder), _subject())
 
 
 def misses_by_length(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +76,7 @@ def longest_peaks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reads_near_allele(spark: SparkSession, folder: str) -> DataFrame:
-    stated = _sheet(spark, folder).select("row_id", _SUBJECT_OF.alias("sample_id"), F.col("a1").alias("length"))
+    stated = _sheet(spark, folder).select("row_id", _subject().alias("sample_id"), F.col("a1").alias("length"))
     return lengths.reads_near(_hist(spark, folder), stated)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmill.operators import cohort, decoding, lengths, nested_records, scaffolds, unit_profiles
+from strandmill.plans.data_quality import _TABLES
 from strandmill.plans.length_queries import _PEAKS, _READS
 from strandmill.plans.unit_queries import _COUNTS, COPIES
 from strandmill.sources import load_table
@@ -36,6 +37,10 @@ def length_congruence(spark: SparkSession, folder: str) -> DataFrame:
     return scaffolds.length_congruence(lengths.call_peaks(_hist(spark, folder)), _stated(spark, folder))
 
 
+def length_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    return scaffolds.length_comparison(lengths.call_peaks(_hist(spark, folder)), _stated(spark, folder))
+
+
 def minvar_split(spark: SparkSession, folder: str) -> DataFrame:
     rows = load_table(spark, folder, "review_features").filter("repeat_index is not null")
     return scaffolds.min_variance_cut(rows, "repeat_index", "frac_8c")
@@ -53,7 +58,7 @@ def streaming_histogram(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        motif_decode, read_concentration, scaffold_for_lengths, length_congruence, minvar_split,
+        motif_decode, read_concentration, scaffold_for_lengths, length_congruence, length_comparison, minvar_split,
         snp_genotype, streaming_histogram,
     )
 }
@@ -61,6 +66,16 @@ QUERIES = {
 _STATED = "stated AS (SELECT row_id, regexp_replace(coalesce(sample, ''), '_minimap2.*$', '') AS sample_id, a1, a2 FROM cohort_sheet)"
 
 ORACLE = {
+    # one unit or one base further with each step; all units of the list have 60 bases
+    "motif_decode": f"""WITH RECURSIVE {_TABLES},
+texts AS (SELECT file_id, hap_no, upper(x->>'$.consensus') AS t FROM haps WHERE x->>'$.consensus' <> ''),
+known AS (SELECT list({{'n': motif_name, 's': upper(seq)}} ORDER BY motif_name) AS k FROM motif_ref WHERE seq <> ''),
+steps AS (SELECT file_id, hap_no, t, 0 AS place, 0 AS unit, NULL::VARCHAR AS name, NULL::INT AS pos, NULL::INT AS d FROM texts
+  UNION ALL
+  SELECT file_id, hap_no, t, CASE WHEN b.d <= 3 THEN place + 60 ELSE place + 1 END, CASE WHEN b.d <= 3 THEN unit + 1 ELSE unit END, CASE WHEN b.d <= 3 THEN b.n END, CASE WHEN b.d <= 3 THEN place END, b.d
+  FROM (SELECT file_id, hap_no, t, place, unit, list_sort(list_transform(k, lambda r: {{'d': CASE WHEN length(t) >= place + 60 THEN hamming(substr(t, place + 1, 60), r.s) ELSE 99 END, 'n': r.n}}))[1] AS b
+    FROM steps, known WHERE place < length(t)))
+SELECT file_id, hap_no, unit, name, pos, 60 AS length, d::INT AS mismatches FROM steps WHERE name IS NOT NULL""",
     "read_concentration": f"""WITH {_READS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY n DESC, copies) AS r FROM hist)
 SELECT sample_id, sum(n)::BIGINT AS n_reads, sum(n) FILTER (r <= 2)::BIGINT AS n_top2, round(sum(n) FILTER (r <= 2) / sum(n), 4) AS share FROM ranked GROUP BY sample_id""",
     "scaffold_for_lengths": f"""WITH {_READS}, {_STATED},
@@ -73,6 +88,11 @@ SELECT f.*, scaffold2 FROM first f LEFT JOIN two USING (row_id)""",
 l AS (SELECT row_id, s.sample_id, list_sort(list_filter([a1, a2], lambda v: v IS NOT NULL)) AS x, list_sort(list_filter([allele1, allele2], lambda v: v IS NOT NULL)) AS y FROM stated s LEFT JOIN called c USING (sample_id)),
 d AS (SELECT row_id, sample_id, CASE WHEN least(len(x), len(y)) >= 2 THEN greatest(abs(x[1] - y[1]), abs(x[2] - y[2])) WHEN least(len(x), len(y)) = 1 THEN abs(x[1] - y[1]) END AS max_delta FROM l)
 SELECT *, CASE WHEN max_delta IS NULL THEN 'INSUFFICIENT' WHEN max_delta <= 1 THEN 'CONCORDANT' WHEN max_delta = 4 THEN 'OFFSET_SUSPECT' WHEN max_delta <= 3 THEN 'SPREAD' ELSE 'DIVERGENT' END AS status FROM d""",
+    "length_comparison": f"""WITH {_PEAKS}, {_STATED},
+l AS (SELECT row_id, s.sample_id, list_sort(list_filter([a1, a2], lambda v: v IS NOT NULL)) AS x, list_sort(list_filter([allele1, allele2], lambda v: v IS NOT NULL)) AS y FROM stated s LEFT JOIN called c USING (sample_id)),
+d AS (SELECT *, list_transform(range(1, least(len(x), len(y)) + 1), lambda k: x[k] - y[k]) AS d, list_filter(x, lambda a: len(list_filter(y, lambda b: abs(a - b) <= 4.5)) = 0) AS m FROM l)
+SELECT row_id, sample_id, CASE WHEN len(d) > 0 THEN array_to_string(m, ',') END AS missing, CASE WHEN len(d) = 0 THEN 'INSUFFICIENT' WHEN list_min(d) >= 3.5 AND list_max(d) <= 4.5 OR list_max(d) <= -3.5 AND list_min(d) >= -4.5 THEN 'OFFSET_SUSPECT'
+  WHEN len(m) > 0 THEN 'ALLELE_MISSING' WHEN greatest(list_max(d), -list_min(d)) <= 1 THEN 'CONCORDANT' WHEN greatest(list_max(d), -list_min(d)) <= 3 THEN 'SPREAD' ELSE 'DIVERGENT' END AS status FROM d""",
     "minvar_split": """WITH c AS (SELECT repeat_index, round(frac_8c, 4) AS v, count(*) AS n FROM review_features WHERE repeat_index IS NOT NULL AND frac_8c IS NOT NULL GROUP BY 1, 2),
 s AS (SELECT *, sum(n) OVER w AS i, sum(n * round(v * 10000)::BIGINT) OVER w AS s, sum(n) OVER (PARTITION BY repeat_index) AS tn, sum(n * round(v * 10000)::BIGINT) OVER (PARTITION BY repeat_index) AS ts
   FROM c WINDOW w AS (PARTITION BY repeat_index ORDER BY v)),

@@ -44,6 +44,25 @@ def copies_by_cassette(spark: SparkSession, folder: str) -> DataFrame:
     return _measured(spark, folder, "p1", "s9", "cassette")
 
 
+def read_signature(spark: SparkSession, folder: str) -> DataFrame:
+    """By run: sequences, those with both anchors, the medians of the bases outside them (cut to whole numbers), and the share near these."""
+    found = copies_by_cassette(spark, folder).join(_reads(spark, folder).select("file_id", "hap_no", "run"), ["file_id", "hap_no"])
+    ends = found.groupBy("run", "before", "after").agg(F.count("*").alias("n"))
+    middle = lambda c: F.floor(F.percentile(c, 0.5, F.col("n"))).cast("int")
+    medians = ends.groupBy("run").agg(F.sum("n").alias("n_reads"), F.coalesce(F.sum(F.when(F.col("before").isNotNull(), F.col("n"))), F.lit(0)).alias("n_anchored"), middle("before").alias("median_before"), middle("after").alias("median_after"))
+    near = lambda c: F.coalesce(F.sum(F.when(F.abs(F.col(c) - F.col(f"median_{c}")) <= 200, F.col("n"))), F.lit(0))
+    tight = ends.join(medians, "run").groupBy("run").agg(near("before").alias("b"), near("after").alias("a"))
+    held = medians.join(tight, "run")
+    share = lambda c: F.round(F.col(c) / F.when(F.col("n_anchored") > 0, F.col("n_anchored")), 4)
+    return held.select("run", "n_reads", "n_anchored", "median_before", "median_after", share("b").alias("tight_before"), share("a").alias("tight_after"))
+
+
+def tandem_stretches(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest stretch of one unit after another in each sequence, for the unit that stands first behind the left anchor."""
+    reads = _reads(spark, folder).withColumn("unit", F.substring(sequences.after_anchor(F.col("seq"), _anchor(spark, folder, "p5")), 1, 60)).filter("length(unit) = 60")
+    return reads.withColumn("t", sequences.tandem_stretch(F.col("seq"), F.col("unit"))).select("file_id", "hap_no", "t.units", "t.start")
+
+
 def _tracts(seq: Column) -> Column:
     return sequences.tract_lengths(seq, LEFT, BASE, RIGHT)
 
@@ -165,7 +184,7 @@ def unit_consensus(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        copies_by_flank, copies_by_cassette, tract_profile, tract_profile_from_end, tract_histogram, tract_by_haplotype, best_tract_place, run_length_test, unit_gap_profile,
+        copies_by_flank, copies_by_cassette, read_signature, tandem_stretches, tract_profile, tract_profile_from_end, tract_histogram, tract_by_haplotype, best_tract_place, run_length_test, unit_gap_profile,
         segment_tally, context_profile, context_panel, context_candidates, unit_alignments, unit_indels, aligned_base, window_bases, base_pileup, unit_consensus,
     )
 }
@@ -214,6 +233,17 @@ based AS (SELECT * FROM on_place UNION ALL SELECT * FROM added)"""
 ORACLE = {
     "copies_by_flank": _copies("p5", "s6", "x + 60", "y"),
     "copies_by_cassette": _copies("p1", "s9", "x", "y + 60"),
+    "read_signature": f"""WITH copies AS ({_copies("p1", "s9", "x", "y + 60")}), runs AS (SELECT file_id, min(run) AS run FROM analyzer_json GROUP BY file_id),
+m AS (SELECT run, count(*) AS n_reads, count(before) AS n_anchored, floor(median(before))::INT AS median_before, floor(median(after))::INT AS median_after FROM copies JOIN runs USING (file_id) GROUP BY run)
+SELECT m.run, any_value(n_reads) AS n_reads, any_value(n_anchored) AS n_anchored, any_value(median_before) AS median_before, any_value(median_after) AS median_after,
+  round(count(*) FILTER (abs(before - median_before) <= 200) / nullif(any_value(n_anchored), 0), 4) AS tight_before, round(count(*) FILTER (abs(after - median_after) <= 200) / nullif(any_value(n_anchored), 0), 4) AS tight_after
+FROM copies JOIN runs USING (file_id) JOIN m USING (run) GROUP BY m.run""",
+    "tandem_stretches": f"""WITH {_SEQS}, anchor AS (SELECT max(seq) AS p FROM motif_ref WHERE motif_name = 'p5'),
+first AS (SELECT file_id, hap_no, seq, substr(seq, strpos(seq, p) + 60, 60) AS unit FROM reads, anchor WHERE contains(seq, p) AND length(seq) >= strpos(seq, p) + 119),
+places AS (SELECT file_id, hap_no, i FROM (SELECT *, unnest(range(0, length(seq) - 59)) AS i FROM first) WHERE hamming(substr(seq, i + 1, 60), unit) <= 6),
+islands AS (SELECT *, i // 60 - row_number() OVER (PARTITION BY file_id, hap_no, i % 60 ORDER BY i) AS island FROM places),
+stretches AS (SELECT file_id, hap_no, i % 60 AS phase, island, count(*) AS n, min(i) AS start FROM islands GROUP BY ALL)
+SELECT file_id, hap_no, n::INT AS units, start::INT AS start FROM (SELECT *, row_number() OVER (PARTITION BY file_id, hap_no ORDER BY n DESC, start) AS r FROM stretches) WHERE r = 1""",
     "tract_histogram": f"WITH {_PLACED} SELECT run, place, value, count(*) AS n FROM tract_places GROUP BY ALL",
     "tract_profile": f"WITH {_TRACTS} SELECT *, round(n_mut / tot, 3) AS frac FROM seen",
     "tract_profile_from_end": f"""WITH {_SEQS}, anchor AS (SELECT max(seq) FILTER (motif_name = 's6') AS s FROM motif_ref),

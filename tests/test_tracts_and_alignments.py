@@ -154,3 +154,11 @@ def test_haplotype_reads(spark):
     (row,) = t.haplotype_reads(df).collect()
     assert (row.file_id, row.run, row.hap_no, row.names, row.seq) == (1, "q", 1, ["A", "B"], "AATTCCGG")
     assert np.array(row.units).tolist() == ["AATT", "CCGG"]
+
+
+def test_longest_tandem():
+    unit = b"ACGTACGTAA"
+    near = b"ACGTACGTTT"
+    assert q.longest_tandem(b"GG" + unit + near + unit + b"CCC" + unit * 2, unit, 2) == (3, 2)
+    assert q.longest_tandem(b"GG" + unit + near + unit + b"CCC" + unit * 2, unit, 0) == (2, 35)
+    assert q.longest_tandem(b"G" * 40, unit, 1) == (0, -1) and q.longest_tandem(b"", unit, 1) == (0, -1)

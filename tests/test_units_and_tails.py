@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strandmill.functions import cigar, sequences, tails
 from strandmill.operators import unit_profiles as u
-from strandmill.operators.decoding import decode, greedy_units
+from strandmill.operators.decoding import Units, decode, greedy_units
 
 A = "ACGT" * 15
 B = "TTGCA" * 12
@@ -87,7 +87,7 @@ def test_changes(units, spark):
 def test_decoding(spark):
     ref = [(A, "A"), (B, "B"), (A + "C", "A+1")]
     text = A + "GG" + B[:30] + "G" + B[31:] + A + "C" + "T" * 7
-    assert list(greedy_units(text, ref)) == [("A", 0, 60, 0), ("B", 62, 60, sum(x != y for x, y in zip(B[30], "G", strict=True))), ("A+1", 122, 61, 0)]
+    assert list(greedy_units(text, Units(ref))) == [("A", 0, 60, 0), ("B", 62, 60, sum(x != y for x, y in zip(B[30], "G", strict=True))), ("A+1", 122, 61, 0)]
     haps = spark.createDataFrame([(1, 1, text), (1, 2, None), (2, 1, "")], "file_id bigint, hap_no int, consensus string")
     got = decode(haps, spark.createDataFrame([(n, s) for s, n in ref], "motif_name string, seq string"))
     assert [r.name for r in got.orderBy("unit").collect()] == ["A", "B", "A+1"]
