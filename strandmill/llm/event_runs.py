@@ -27,42 +27,44 @@ def differing(a: Column, b: Column) -> Column:
     return F.aggregate(pairs, F.lit(0), lambda n, x: n + x)
 
 
-def _bases(m: Column) -> Column:
-    return F.when(F.trim(m["sequence"]) != "", F.upper(F.trim(m["sequence"])))
+def cleaned(events: Column) -> Column:
+    """Events with what they are compared by, worked out once each: ``pos``, ``length``, ``bases``, ``name``, ``symbol``.
 
+    An event's symbol is a code point for what it is apart from its place: its sequence, or its name where it has none.
+    """
 
-def _name(m: Column) -> Column:
-    return F.when(F.trim(m["name"]) != "", F.trim(m["name"]))
-
+    def one(m: Column) -> Column:
+        bases = F.when(F.trim(m["sequence"]) != "", F.upper(F.trim(m["sequence"])))
+        name = F.when(F.trim(m["name"]) != "", F.trim(m["name"]))
+        return F.struct(m["pos"].alias("pos"), m["length"].alias("length"), bases.alias("bases"), name.alias("name"))
 
-def canonical(m: Column) -> Column:
-    """What an event is, apart from its place: its sequence, or its name where it has none."""
-    return F.coalesce(F.concat(F.lit("s"), _bases(m)), F.concat(F.lit("n"), _name(m)), F.lit(""))
+    return F.transform(F.transform(events, one), lambda m: F.struct(m["pos"].alias("pos"), m["length"].alias("length"), m["bases"].alias("bases"), m["name"].alias("name"), _symbol(m).alias("symbol")))
 
 
 def same_unit(a: Column, b: Column, most: int) -> Column:
-    """Sequences of equal length that differ in at most ``most`` bases; where either has none, equal names."""
-    x, y = _bases(a), _bases(b)
+    """Cleaned events whose sequences are of equal length and differ in at most ``most`` bases; where either has none, equal names."""
+    x, y = a["bases"], b["bases"]
     # edits are never more than differing places: the cheap bound goes first
-    near = F.when(x == y, True).when(F.length(x) != F.length(y), False).when(F.levenshtein(x, y, most) < 0, False).otherwise(differing(x, y) <= most)
-    return F.coalesce(F.when(x.isNotNull() & y.isNotNull(), near).otherwise(_name(a) == _name(b)), F.lit(False))
+    near = F.when(F.length(x) != F.length(y), False).when(F.levenshtein(x, y, most) < 0, False).otherwise(differing(x, y) <= most)
+    return F.when(x == y, True).otherwise(F.coalesce(F.when(x.isNotNull() & y.isNotNull(), near).otherwise(a["name"] == b["name"]), F.lit(False)))
 
 
 def _symbol(event: Column) -> Column:
-    code = F.lit(FIRST_SYMBOL) + F.pmod(F.xxhash64(canonical(event)), F.lit(SYMBOLS))
-    return F.decode(F.unhex(F.hex(code)), "UTF-16BE")
+    what = F.coalesce(F.concat(F.lit("s"), event["bases"]), F.concat(F.lit("n"), event["name"]), F.lit(""))
+    return F.decode(F.unhex(F.hex(F.lit(FIRST_SYMBOL) + F.pmod(F.xxhash64(what), F.lit(SYMBOLS)))), "UTF-16BE")
 
 
-def marked_symbols(events: Column, most: int) -> Column:
-    """Per event its code point, with a mark before it unless it equals the event before and follows it without a gap."""
+def marked_symbols(pairs: Column, most: int) -> Column:
+    """Per pair of ``with_previous`` over cleaned events its code point, with a mark before it unless the event equals the one before and follows it without a gap."""
 
     def one(x: Column) -> Column:
         m, p = x["m"], x["p"]
-        follows = F.coalesce(p["pos"] + p["length"] == m["pos"], F.lit(False)) & same_unit(p, m, most)
-        mark = F.when(~follows, BREAK).when(canonical(p) == canonical(m), "").otherwise(NEAR)
-        return F.concat(mark, _symbol(m))
+        follows = F.coalesce(p["pos"] + p["length"] == m["pos"], F.lit(False))
+        equal = F.coalesce(p["bases"] == m["bases"], p["bases"].isNull() & m["bases"].isNull() & (p["name"] == m["name"]), F.lit(False))
+        mark = F.when(~follows, BREAK).when(equal, "").when(same_unit(p, m, most), NEAR).otherwise(BREAK)
+        return F.concat(mark, m["symbol"])
 
-    return F.transform(with_previous(events), one)
+    return F.transform(pairs, one)
 
 
 def runs_of(events: Column, symbols: Column, least: int) -> Column:
@@ -95,5 +97,6 @@ def motif_runs(raw: DataFrame, *, file_id: str = "file_id", body: str = "body",
     haps = parse_records(raw, file_id=file_id, body=body).select("file_id", F.explode("haps").alias("h"))
     # materialised step by step, else each expression would repeat the ones below it
     ordered = haps.select("file_id", F.col("h.hap_rank").alias("hap_rank"), in_order(F.col("h.motifs")).alias("e"))
-    coded = ordered.withColumn("s", marked_symbols(F.col("e"), most))
+    clean = ordered.select("file_id", "hap_rank", cleaned(F.col("e")).alias("e"))
+    coded = clean.withColumn("s", marked_symbols(with_previous(F.col("e")), most))
     return coded.select("file_id", "hap_rank", F.inline(runs_of(F.col("e"), F.col("s"), least)))
