@@ -29,6 +29,8 @@ ITEM_BLOCK = 2_000
 #: A word of an item is distinctive if at most this part of the documents, or so few documents, hold it, and likewise of the items.
 RARE_SHARE, RARE_DOCS = 0.01, 20
 RARE_ITEM_SHARE, RARE_ITEMS = 0.02, 2
+#: A distinctive word has so many letters.
+LEAST_LETTERS = 5
 #: Stretches of items without distinctive words are searched by windows of so many words.
 WINDOW = 5
 #: A passage spans at least so many words of the item, so many of them equal.
@@ -326,9 +328,10 @@ def _folds() -> tuple[str, str]:
     return "".join(plain) + "".join(map(chr, range(0x300, 0x370))) + "\u00ad\u200b\u200c\u200d\u2060\ufeff", "".join(plain.values())
 
 
-def folded_words(text: Column) -> Column:
-    """The words of a text as in ``words_of``, but that markup and wrongly decoded letters are not repaired."""
-    return F.split(F.replace(F.translate(F.lower(text), *_folds()), F.lit("ß"), F.lit("ss")), r"[^a-z0-9\p{L}\p{N}]+")
+def folded_words(text: Column, least: int = 1) -> Column:
+    """The words of ``least`` letters or more of a text as in ``words_of``, but that markup and wrongly decoded letters are not repaired."""
+    folded = F.replace(F.translate(F.lower(text), *_folds()), F.lit("ß"), F.lit("ss"))
+    return F.regexp_extract_all(folded, F.lit(rf"[a-z0-9\p{{L}}\p{{N}}]{{{least},}}"), 0)
 
 
 def distinct_words(texts: DataFrame, text: str) -> DataFrame:
@@ -350,9 +353,9 @@ def telling_words(documents: DataFrame, items: DataFrame, *, text: str = "text",
     n_items, n_docs = items.count(), documents.count()
     few = max(RARE_ITEMS, RARE_ITEM_SHARE * n_items) if n_items > RARE_ITEMS else 1
     held = distinct_words(items, item_text).groupBy("word").agg(F.count("*").alias("n_items")).filter(F.col("n_items") <= max(few, RARE_ITEMS))
-    candidate = (F.col("n_items") <= few) & (F.length("word") >= 5) & ~F.col("word").rlike(r"^\p{Nd}+$")
+    candidate = (F.col("n_items") <= few) & (F.length("word") >= LEAST_LETTERS) & ~F.col("word").rlike(r"^\p{Nd}+$")
     held = small_side(held.select("word", candidate.alias("is_candidate"), (F.col("n_items") <= RARE_ITEMS).alias("is_own")))
-    each = documents.select(F.explode(F.array_distinct(folded_words(F.col(text)))).alias("word"))
+    each = documents.select(F.explode(F.array_distinct(folded_words(F.col(text), LEAST_LETTERS))).alias("word"))
     counts = each.join(held.filter("is_candidate").select("word"), "word").groupBy("word").agg(F.count("*").alias("n_docs"))
     is_rare = F.col("is_candidate") & (F.coalesce("n_docs", F.lit(0)) <= max(RARE_DOCS, RARE_SHARE * n_docs))
     return checkpointed(held.join(counts, "word", "left").select("word", is_rare.alias("is_rare"), "is_own").filter("is_rare or is_own"))
