@@ -41,14 +41,23 @@ LEAST_DENSITY, SHORT_DENSITY, LONG_SCORE = 0.55, 0.75, 20.5
 LEAST_TOLD = 4
 #: Equal words on the diagonal of a test string's occurrence before an alignment is tried; a passage has a stretch without gaps around it.
 LEAST_ON_DIAGONAL = 5
+#: An alignment leaves its diagonal by so many words at most.
+BAND = 9
 
 _MARKS = re.compile("[̀-ͯ]+")
 _TAG = re.compile("<[^<>]{1,60}>")
 _BROKEN = re.compile("[Â-ô][\u0080-¿‘-›€ŒœŠšŸŽžƒˆ˜™]{1,3}")
 _NO_WIDTH = re.compile("[­​-‍⁠﻿]+")
-_HYPHEN = re.compile(r"(?<=\w)[-‐]\s*\n\s*(?=\w)")
+# begins with its rarest part, which is looked for fastest
+_HYPHEN = re.compile(r"[-‐](?<=\w.)\s*\n\s*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _BLANKS = {c: " " for c in range(128) if not chr(c).isalnum()}
+_ASCII = bytes(range(128))
+
+
+def beyond_ascii(text: str) -> str:
+    """The other characters of ``text``, in order; neighbours stay neighbours."""
+    return text.encode("utf-8", "surrogatepass").translate(None, _ASCII).decode("utf-8", "surrogatepass")
 
 
 def _decode_again(found: re.Match) -> str:
@@ -66,10 +75,12 @@ def repaired(text: str) -> str:
         text = html.unescape(text)
     if "<" in text:
         text = _TAG.sub(" ", text)
-    if _BROKEN.search(text):
-        text = _BROKEN.sub(_decode_again, text)
+    # most texts have none of these, which their few characters beyond ASCII show
     if not text.isascii():
-        text = _NO_WIDTH.sub("", text)
+        if _BROKEN.search(beyond_ascii(text)):
+            text = _BROKEN.sub(_decode_again, text)
+        if _NO_WIDTH.search(beyond_ascii(text)):
+            text = _NO_WIDTH.sub("", text)
     return _HYPHEN.sub("", text) if "\n" in text else text
 
 
@@ -79,10 +90,16 @@ def words_of(text: str | None) -> list[str]:
         return []
     text = repaired(text)
     if not text.isascii():
-        text = _MARKS.sub("", unicodedata.normalize("NFKD", text.replace("ß", "ss")))
-    text = text.lower()
+        text = unicodedata.normalize("NFKD", text.replace("ß", "ss"))
+        others = {c for c in beyond_ascii(text) if not _MARKS.match(c)}
+        if any(map(str.isalnum, others)):
+            return _WORD.findall(_MARKS.sub("", text).lower())
+        for c in others:
+            text = text.replace(c, " ")
+        # only marks are left to go
+        text = text.encode("ascii", "ignore").decode()
     # the same words, found faster
-    return text.translate(_BLANKS).split() if text.isascii() else _WORD.findall(text)
+    return text.lower().translate(_BLANKS).split()
 
 
 def close_words(a: str, b: str) -> bool:
@@ -93,14 +110,19 @@ def close_words(a: str, b: str) -> bool:
     if min(x, y) < 4 or abs(x - y) > 2 or a.isdigit() or b.isdigit():
         return False
     most = 2 if max(x, y) >= 8 else 1
+    if abs(x - y) > most:
+        return False
     # an edit changes one letter of each word at most
     s, t = set(a), set(b)
-    if abs(x - y) > most or len(s - t) > most or len(t - s) > most:
+    if len(s - t) > most or len(t - s) > most:
         return False
+    # so few edits stay as near the diagonal
     before, last = None, list(range(y + 1))
     for i in range(1, x + 1):
-        row = [i] * (y + 1)
-        for j in range(1, y + 1):
+        row = [most + 1] * (y + 1)
+        if i <= most:
+            row[0] = i
+        for j in range(max(1, i - most), min(y, i + most) + 1):
             row[j] = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (a[i - 1] != b[j - 1]))
             if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
                 row[j] = min(row[j], before[j - 2] + 1)
@@ -110,34 +132,51 @@ def close_words(a: str, b: str) -> bool:
     return last[y] <= most
 
 
-def align(item: list[str], part: list[str], offset: int, rare: frozenset, memo: dict, band: int = 9) -> tuple[float, int, int, int, int]:
-    """Best local alignment near the diagonal ``offset``: score, equal words, distinctive words kept, distinctive words replaced, words of the item spanned."""
-    best, span = (0.0, 0, 0, 0, 0), 0
+def equal_places(rows: dict[str, list[int]], alike: list[tuple[str, ...]], offset: int, band: int = BAND) -> dict[int, list[int]]:
+    """By word of an item: the columns near the diagonal ``offset`` that hold an equal word; ``rows`` are the words' places, ``alike`` the equal words by document word."""
+    found: dict[int, list[int]] = defaultdict(list)
+    for j, names in enumerate(alike):
+        for a in names:
+            for i in rows.get(a, ()):
+                k = j - i - offset + band
+                if 0 <= k <= 2 * band:
+                    found[i].append(k)
+    return found
+
+
+def align(item: list[str], part: list[str], offset: int, rare: frozenset, equal: dict[int, list[int]], band: int = BAND) -> tuple[float, int, int, int, int]:
+    """Best local alignment near the diagonal ``offset``: score, equal words, distinctive words kept, distinctive words replaced, words of the item spanned.
+
+    Of each row only the columns that something reaches are filled: those of ``equal_places``, and those beside the last row's.
+    """
     width = 2 * band + 1
-    last = [best] * (width + 2)
+    best, span, empty = (0.0, 0, 0, 0, 0), 0, [(0.0, 0, 0, 0, 0)] * (width + 2)
+    # the columns of the last row that hold something lie from low to high
+    last, low, high = empty, width, -1
     for i, a in enumerate(item):
+        here = equal.get(i, ())
+        if high < 0 and not here:
+            continue
         # the last member of a cell is where its alignment starts
         nothing = (0.0, 0, 0, 0, i + 1)
         row = [nothing] * (width + 2)
         is_rare, is_figure = a in rare, a.isdigit()
-        like = memo.setdefault(a, {})
         first = i + offset - band
-        for k in range(max(0, -first), min(width, len(part) - first)):
-            b = part[first + k]
-            if a == b:
-                same = True
-            else:
-                same = like.get(b)
-                if same is None:
-                    same = like[b] = close_words(a, b)
+        end = min(width, len(part) - first)
+        to, new_low, new_high = max(high, here[-1] if here else -1), width, -1
+        k = max(0, -first, min(low - 1, here[0] if here else width))
+        while k < end and (k <= to or row[k][0] > 1.0):
             d = last[k + 1]
-            if same:
-                cell = (d[0] + 1.0, d[1] + 1, d[2] + is_rare, d[3], d[4])
+            if k in here:
+                # a start where nothing was before
+                cell = (d[0] + 1.0, d[1] + 1, d[2] + is_rare, d[3], d[4] if last is not empty else i)
             elif d[0] <= 1.5 and last[k + 2][0] <= 1.5 and row[k][0] <= 1.0:
                 # nothing that reaches here is left
+                k += 1
                 continue
             else:
                 # another figure is like another name
+                b = part[first + k]
                 other = is_rare or (is_figure and b.isdigit())
                 cell = (d[0] - (3.0 if other or b in rare else 1.5), d[1], d[2], d[3] + other, d[4])
             up, left = last[k + 2], row[k]
@@ -146,10 +185,14 @@ def align(item: list[str], part: list[str], offset: int, rare: frozenset, memo:
             if left[0] - 1.0 > cell[0]:
                 cell = (left[0] - 1.0, left[1], left[2], left[3], left[4])
             if cell[0] > 0:
-                row[k + 1] = cell
+                k += 1
+                row[k] = cell
+                new_low, new_high = min(new_low, k - 1), k - 1
                 if cell[0] > best[0]:
                     best, span = cell, i + 1 - cell[4]
-        last = row
+            else:
+                k += 1
+        last, low, high = (row, new_low, new_high) if new_high >= 0 else (empty, width, -1)
     return *best[:4], span
 
 
@@ -175,11 +218,12 @@ def may_hold(stretch: list[str], part: list[str], telling: frozenset) -> bool:
 
 
 def shortened(word: str, most: int) -> set[str]:
-    """``word`` with up to ``most`` letters left out: words within so many edits or exchanges share one of these."""
-    found = last = {word}
-    for _ in range(most):
-        last = {w[:k] + w[k + 1 :] for w in last for k in range(len(w))}
-        found = found | last
+    """``word`` with up to ``most`` letters left out, two at most: words within so many edits or exchanges share one of these."""
+    found, places = {word}, range(len(word))
+    if most:
+        found.update([word[:k] + word[k + 1 :] for k in places])
+    if most > 1:
+        found.update([word[:j] + word[j + 1 : k] + word[k + 1 :] for k in places for j in range(k)])
     return found
 
 
@@ -220,14 +264,28 @@ class ItemBlock:
         self.searches = [(PatternSearch(list(p)), list(p.values())) for p in (names, windows)]
         self.names = {p[1:-1].decode(): at for p, at in names.items()}
         self.by_shortened: dict[str, list[str]] = defaultdict(list)
-        for name in self.names:
-            for w in shortened(name, slips(name)):
-                self.by_shortened[w].append(name)
-        self.memo: dict[str, dict[str, bool]] = {}
-        self.longest = max(map(len, self.names), default=0)
-        # words seen so far that are like a distinctive word, and those that are not
+        self.words = frozenset(w for words in self.items for w in words)
+        for word in self.words:
+            if slips(word):
+                for w in shortened(word, slips(word)):
+                    self.by_shortened[w].append(word)
+        self.longest = max(map(len, self.words), default=0)
+        # words seen so far: the words of items they equal, but for slips; the places of distinctive words they are like, or that there are none
+        self.equal: dict[str, tuple[str, ...]] = {}
         self.near: dict[str, list[tuple[int, int, int, int]]] = {}
         self.far: set[str] = set()
+        #: (item, start, stop): the words, whether they are a whole item with distinctive words, what tells them, places of each word
+        self.stretches: dict[tuple[int, int, int], tuple[list[str], bool, frozenset, dict[str, list[int]]]] = {}
+
+    def alike(self, word: str) -> tuple[str, ...]:
+        """The words of items that are ``word``, or like it but for slips."""
+        equal = self.equal.get(word)
+        if equal is None:
+            like = set()
+            if slips(word) and len(word) <= self.longest + 2:
+                like = {a for x in self.by_shortened.keys() & shortened(word, slips(word)) for a in self.by_shortened[x]}
+            equal = self.equal[word] = tuple(a for a in sorted(like | (self.words & {word})) if close_words(a, word))
+        return equal
 
     def slipped(self, words: list[str]) -> dict[str, list[tuple[int, int, int, int]]]:
         """Places of the distinctive words that are like a word of ``words`` but for slips, by that word."""
@@ -235,11 +293,11 @@ class ItemBlock:
         if len(near) + len(far) > 1_000_000:
             near.clear()
             far.clear()
+            self.equal.clear()
         for w in set(words) - far:
             places = near.get(w)
             if places is None:
-                like = {n for x in shortened(w, slips(w)) for n in self.by_shortened.get(x, ())} if len(w) <= self.longest + 2 else set()
-                places = [p for n in sorted(like) if n != w and close_words(n, w) for p in self.names[n]]
+                places = [p for n in self.alike(w) if n != w for p in self.names.get(n, ())]
                 if not places:
                     far.add(w)
                     continue
@@ -259,9 +317,7 @@ class ItemBlock:
         for search, places in self.searches:
             for at, pattern in search.find(buffer):
                 by_doc[bisect_right(starts, at) - 1].append((at, places[pattern]))
-        found, memo = [], self.memo
-        if sum(map(len, memo.values())) > 2_000_000:
-            memo.clear()
+        found = []
         for d, words in enumerate(docs):
             offsets: dict[tuple[int, int, int], set[int]] = defaultdict(set)
             like = self.slipped(words)
@@ -287,9 +343,14 @@ class ItemBlock:
 
     def _holds(self, item: int, start: int, stop: int, offsets: list[int], words: list[str]) -> bool:
         """Whether a passage of the item lies on one of the diagonals in a document's ``words``."""
-        own_words = self.items[item][start:stop]
-        whole = stop - start == len(self.items[item]) and any(w in self.rare for w in own_words)
-        telling = self.telling[item, -1 if whole else start]
+        stretch = self.stretches.get((item, start, stop))
+        if stretch is None:
+            own_words, rows = self.items[item][start:stop], defaultdict(list)
+            for k, w in enumerate(own_words):
+                rows[w].append(k)
+            whole = stop - start == len(self.items[item]) and any(w in self.rare for w in own_words)
+            stretch = self.stretches[item, start, stop] = own_words, whole, self.telling[item, -1 if whole else start], dict(rows)
+        own_words, whole, telling, rows = stretch
         done = None
         for o in offsets:
             # the band around one diagonal covers its neighbours
@@ -300,8 +361,15 @@ class ItemBlock:
             if sum(map(eq, own_words[max(0, -o) :], words[max(0, o) : high])) < LEAST_ON_DIAGONAL:
                 continue
             done, least = o - start, 0
+            if not whole and not may_hold(own_words, words[low:high], telling):
+                continue
+            # the document's words are all known since ``slipped``
+            equal = equal_places(rows, [self.equal[w] for w in words[low:high]], o - low)
+            # each word of the item counts once
+            if len(equal) < LEAST_WORDS:
+                continue
             if whole:
-                score, n, kept, replaced, span = align(own_words, words[low:high], o - low, self.rare, self.memo)
+                score, n, kept, replaced, span = align(own_words, words[low:high], o - low, self.rare, equal)
                 # without a distinctive word it lies in a stretch that has its own windows
                 if kept and is_passage((score, n, kept, replaced, span), True):
                     return True
@@ -309,9 +377,9 @@ class ItemBlock:
                 if kept != 1 or replaced or span < LEAST_SPAN:
                     continue
                 least = LEAST_TOLD
-            if not may_hold(own_words, words[low:high], telling):
-                continue
-            score, n, kept, replaced, span = align(own_words, words[low:high], o - low, telling, self.memo)
+                if not may_hold(own_words, words[low:high], telling):
+                    continue
+            score, n, kept, replaced, span = align(own_words, words[low:high], o - low, telling, equal)
             # stock wording goes on with other names and figures: hardly any of these may differ
             if kept >= least and replaced * 6 <= kept and is_passage((score, n, kept, replaced, span), False):
                 return True

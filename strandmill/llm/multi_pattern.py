@@ -22,7 +22,7 @@ class PatternSearch:
     """Finds every occurrence of ``patterns`` (bytes, each at least ``BLOCK`` + 1 long) in a buffer.
 
     The shift table says how far no pattern can end for the block under a cursor; where it says 0 the hash of the last
-    block selects the patterns to compare directly. Many cursors move in step, each over its own stretch of the buffer.
+    block and the bytes before it select the patterns to compare directly. Many cursors move in step, each over its own stretch of the buffer.
     """
 
     def __init__(self, patterns: Sequence[bytes]):
@@ -30,14 +30,17 @@ class PatternSearch:
         self.least = least = min(map(len, self.patterns), default=BLOCK + 1)
         assert least > BLOCK, "patterns are too short"
         self.shift = np.full(1 << BITS, least - BLOCK + 1, np.uint16)
-        self.buckets: dict[int, list[int]] = defaultdict(list)
+        # by their first bytes, as many as the shortest has
+        self.buckets: dict[bytes, list[int]] = defaultdict(list)
+        ends = set()
         for k, p in enumerate(self.patterns):
             head = np.frombuffer(p[:least], np.uint8).astype(np.uint32)
             blocks = head[: least - 3] | head[1 : least - 2] << 8 | head[2 : least - 1] << 16 | head[3:] << 24
             for j, h in enumerate(_hash(blocks)):
                 self.shift[h] = min(self.shift[h], least - BLOCK - j)
-            self.buckets[int(blocks[-1])].append(k)
-        self.last_blocks = np.array(sorted(self.buckets), np.uint32)
+            self.buckets[p[:least]].append(k)
+            ends.add(int(blocks[-1]))
+        self.last_blocks = np.array(sorted(ends), np.uint32)
 
     def find(self, buffer: bytes) -> list[tuple[int, int]]:
         """(start, pattern number) of every occurrence."""
@@ -60,8 +63,8 @@ class PatternSearch:
                 places, values = at[stop], blocks[stop]
                 slot = np.minimum(np.searchsorted(self.last_blocks, values), len(self.last_blocks) - 1)
                 real = self.last_blocks[slot] == values
-                for place, value in zip((places[real] - self.least + BLOCK).tolist(), values[real].tolist(), strict=True):
-                    for k in self.buckets[value]:
+                for place in (places[real] - self.least + BLOCK).tolist():
+                    for k in self.buckets.get(buffer[place : place + self.least], ()):
                         if buffer.startswith(self.patterns[k], place):
                             found.append((place, k))
                 step[stop] = 1

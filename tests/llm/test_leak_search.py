@@ -1,8 +1,10 @@
 import random
 import re
+import unicodedata
 
 from pyspark.sql import functions as F
 
+import strandmill.llm.leak_search as m
 from strandmill.llm.leak_search import close_words, folded_words, leaked_items, words_of
 from strandmill.llm.multi_pattern import PatternSearch
 
@@ -127,3 +129,62 @@ def test_slips_at_both_ends_and_counted_words(spark):
     text = "Žluťoučký KŮŇ čerpadlo, Größe pøhlen ŝanĝo — насос e\u0301te"
     got = spark.createDataFrame([(text,)], "t string").select(folded_words(F.col("t"))).first()[0]
     assert [w for w in got if w] == words_of(text)
+
+
+def test_words_beyond_ascii():
+    rng = random.Random(6)
+    parts = ["a", "B", "é", "é", "ß", "ẞ", "Σ", "œ", "ж", "İ", "_", "5", "²", "’", "–", "€", "-", "\n", " ", "​", "­", "Ã©", "ï¬"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))
+        plain = re.sub("[­​]+", "", m._BROKEN.sub(m._decode_again, text))
+        plain = re.sub(r"(?<=\w)[-‐]\s*\n\s*(?=\w)", "", plain).replace("ß", "ss")
+        assert words_of(text) == re.findall(r"[^\W_]+", re.sub("[̀-ͯ]+", "", unicodedata.normalize("NFKD", plain)).lower()), text
+
+
+def test_alignment_equals_the_whole_table():
+    rng = random.Random(9)
+    words = "griulmistax griulmitax the of nozzle nozle nozzel 35 36 cover covre layer is pump pumps".split()
+
+    def whole(item, part, offset, rare, band=9):
+        best, cells = (0.0, 0, 0, 0, 0), {}
+        for i, a in enumerate(item):
+            empty, before = (0.0, 0, 0, 0, i + 1), (0.0, 0, 0, 0, i)
+            for j in range(max(0, i + offset - band), min(len(part), i + offset + band + 1)):
+                b = part[j]
+                d, up, left = (cells.get(at, before if at[0] < i else empty) for at in ((i - 1, j - 1), (i - 1, j), (i, j - 1)))
+                other = a in rare or (a.isdigit() and b.isdigit())
+                if close_words(a, b):
+                    cell = (d[0] + 1.0, d[1] + 1, d[2] + (a in rare), *d[3:])
+                else:
+                    cell = (d[0] - (3.0 if other or b in rare else 1.5), d[1], d[2], d[3] + other, d[4])
+                if up[0] - 1.5 > cell[0]:
+                    cell = (up[0] - 1.5, up[1], up[2], up[3] + (a in rare), up[4])
+                if left[0] - 1.0 > cell[0]:
+                    cell = (left[0] - 1.0, *left[1:])
+                if cell[0] > 0:
+                    cells[i, j] = cell
+                    if cell[0] > best[0]:
+                        best, span = cell, i + 1 - cell[4]
+        return (*best[:4], span if best[1] else 0)
+
+    for _ in range(400):
+        item = [rng.choice(words) for _ in range(rng.randint(1, 40))]
+        part = [rng.choice(words) if rng.random() < 0.2 else w for w in item[rng.randint(0, 3) :] for _ in range(rng.choice((1, 1, 1, 1, 1, 0, 2)))]
+        rare, offset = frozenset(rng.sample(words, 4)), rng.randint(-10, 10)
+        rows = {a: [k for k, w in enumerate(item) if w == a] for a in item}
+        equal = m.equal_places(rows, [tuple(a for a in rows if close_words(a, b)) for b in part], offset)
+        assert m.align(item, part, offset, rare, equal) == whole(item, part, offset, rare)
+
+
+def test_a_word_is_compared_with_like_words_of_items_only(monkeypatch):
+    calls = []
+    monkeypatch.setattr(m, "close_words", lambda a, b: calls.append((a, b)) or close_words(a, b))
+    item = words_of(ITEM)
+    block = m.ItemBlock([(1, item)], frozenset(w for w in item if w in ("griulmistax", "lortavporel", "yantoron", "emfraite")), frozenset(item))
+    rng = random.Random(2)
+    other = ["".join(rng.choice("bdfgklmnprst") for _ in range(7)) for _ in range(400)]
+    # the item with every third word exchanged, another one each time
+    docs = [[rng.choice(other) if j % 3 == 2 and w not in block.rare else w for j, w in enumerate(item)] for _ in range(100)]
+    block.leaks(docs)
+    assert len(calls) <= 2 * len(set(item))
+    assert block.leaks([item, item[:23], other]) == [(0, 1), (1, 1)]
